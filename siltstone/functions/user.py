@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.operators.enforce import cast_types, clean_strings, rename_columns
+
+# Slow items of one job share this many tasks at most.
+MOST_TASKS = 10_000
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -30,6 +35,28 @@ def apply_transforms(df: DataFrame, *transforms: Transform | None) -> DataFrame:
     return df
 
 
+class TableTransform:
+    """A transform as a class: override ``transform``, starting from ``self.df``."""
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+
+    def transform(self) -> DataFrame:
+        return self.df
+
+    def rename_columns(self, mapping: Mapping[str, str]) -> TableTransform:
+        self.df = rename_columns(self.df, mapping)
+        return self
+
+    def cast_types(self, schema: Mapping[str, str]) -> TableTransform:
+        self.df = cast_types(self.df, schema)
+        return self
+
+    def clean_strings(self, columns: Iterable[str]) -> TableTransform:
+        self.df = clean_strings(self.df, columns)
+        return self
+
+
 def vectorised(fn: Callable[[pd.Series], pd.Series], returns: str | T.DataType) -> Callable[..., Column]:
     """A user function over whole Arrow batches, callable on columns."""
     return F.pandas_udf(fn, returns)
@@ -45,12 +72,13 @@ def map_items(
     column: str,
     fn: Callable[[object], object],
     returns: str = "string",
-    tasks: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Call ``fn`` on every value of ``column`` on the executors.
 
     The result keeps the item, the returned value and the error text of a call
-    that failed, so one bad item does not lose the others.
+    that failed, so one bad item does not lose the others. ``spread`` gives slow
+    calls a task each.
     """
     dtype = T.DataType.fromDDL(returns) if isinstance(returns, str) else returns
     item = items.schema[column]
@@ -71,7 +99,14 @@ def map_items(
             # object columns: a missing result must not turn whole numbers into floats
             yield pd.DataFrame(rows, columns=[column, "result", "error"], dtype=object)
 
-    spread = items.select(column)
-    if tasks:
-        spread = spread.repartition(tasks)
-    return spread.mapInPandas(run, schema)
+    chosen = items.select(column)
+    return (one_task_each(chosen) if spread else chosen).mapInPandas(run, schema)
+
+
+def one_task_each(items: DataFrame, most: int = MOST_TASKS) -> DataFrame:
+    """Few rows that stand for much work, dealt out evenly.
+
+    The number is explicit, because adaptive execution would merge partitions
+    that hold few bytes.
+    """
+    return items.repartition(max(1, min(items.count(), most)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -17,9 +18,13 @@ from siltstone.functions.types import reported_name
 # Columns per aggregation pass. Parquet reads only the columns of a pass, so more
 # passes do not read more data, and the generated code stays small.
 COLUMNS_PER_PASS = 50
-# Rank accuracy of the sketch that brackets a median, and the rows that are sorted exactly.
+# Rows looked at to propose bounds for a median (a share of all, within limits), the
+# rank accuracy of the sketch over them, and the rows that are sorted in the end.
+SAMPLE_SHARE = 20
+SAMPLE_ROWS = (100_000, 20_000_000)
 SKETCH_ACCURACY = 5000
-ROWS_TO_SORT = 10_000
+ROWS_TO_SORT = 50_000
+DRAW = "__draw"
 
 
 def _passes(items: list) -> Iterable[list]:
@@ -132,10 +137,11 @@ class RankSearch:
 def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Exact medians without sorting the table.
 
-    A mergeable sketch proposes two values around the middle rank, one more pass
-    counts the rows below, at and between them, and only the part that holds the
-    rank is looked at further; a part of few rows is sorted. Parts shrink by the
-    sketch's accuracy per round, so rounds grow with the logarithm of the rows.
+    A sample proposes two values around the middle rank; one pass over all rows
+    counts those below, at and between them, and only the part that holds the
+    rank is looked at further; a part of few rows is sorted. The counts decide,
+    so a poor proposal costs a round but never the result. A round keeps about
+    one row in a hundred, so rounds grow with the logarithm of the rows.
     """
     counts: dict[str, int] = {}
     for names in _passes(columns):
@@ -166,32 +172,54 @@ def _sort_out(df: DataFrame, searches: list[RankSearch]) -> None:
 
 
 def _narrow(df: DataFrame, searches: list[RankSearch]) -> None:
-    slack = 2 / SKETCH_ACCURACY
+    # the two middle ranks of a column look at the same part until they separate
+    groups: dict[tuple, list[RankSearch]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    parts = list(groups.values())
+    drawn = df.select("*", F.rand(0).alias(DRAW))
     sketches = []
-    for i, s in enumerate(searches):
-        share = s.rank / s.rows
-        points = [max(0.0, share - slack), min(1.0, share + slack)]
-        sketches.append(F.percentile_approx(s.inside(), points, SKETCH_ACCURACY).alias(str(i)))
-    proposals = list(df.agg(*sketches).first())
+    for i, part in enumerate(parts):
+        rows = part[0].rows
+        wanted = min(rows, max(SAMPLE_ROWS[0], min(SAMPLE_ROWS[1], rows // SAMPLE_SHARE)))
+        slack = 2 / math.sqrt(wanted) + 1 / SKETCH_ACCURACY
+        shares = [s.rank / rows for s in part]
+        points = [max(0.0, min(shares) - slack), min(1.0, max(shares) + slack)]
+        sampled = F.when(F.col(DRAW) < wanted / rows, part[0].inside())
+        sketches.append(F.percentile_approx(sampled, points, SKETCH_ACCURACY).alias(str(i)))
+    proposals = [bounds or _any_value(df, part[0]) for bounds, part in zip(drawn.agg(*sketches).first(), parts)]
     counts = []
-    for i, (s, (a, b)) in enumerate(zip(searches, proposals)):
-        value = s.inside()
-        distinct_ends = F.lit(a != b)
+    for i, (part, (a, b)) in enumerate(zip(parts, proposals)):
+        value = part[0].inside()
         counts += [
             F.count_if(value < F.lit(a)).alias(f"below_{i}"),
             F.count_if(value == F.lit(a)).alias(f"at_a_{i}"),
             F.count_if((value > F.lit(a)) & (value < F.lit(b))).alias(f"between_{i}"),
-            F.count_if((value == F.lit(b)) & distinct_ends).alias(f"at_b_{i}"),
+            F.count_if((value == F.lit(b)) & F.lit(a != b)).alias(f"at_b_{i}"),
         ]
     row = df.agg(*counts).first()
-    for i, (s, (a, b)) in enumerate(zip(searches, proposals)):
-        s.narrow(a, b, row[f"below_{i}"], row[f"at_a_{i}"], row[f"between_{i}"], row[f"at_b_{i}"])
+    for i, (part, (a, b)) in enumerate(zip(parts, proposals)):
+        for s in part:
+            s.narrow(a, b, row[f"below_{i}"], row[f"at_a_{i}"], row[f"between_{i}"], row[f"at_b_{i}"])
+
+
+def _any_value(df: DataFrame, search: RankSearch) -> list:
+    """Bounds that still make progress when no row was sampled."""
+    low = df.agg(F.min(search.inside())).first()[0]
+    return [low, low]
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
-    """variable, count, max, mean, min, stddev for every column, dates and booleans included."""
+    """variable, count, max, mean, min, stddev for every column, dates and booleans included.
+
+    Numbers and text go in separate passes: smallest and largest strings need a
+    slower kind of aggregate, which would slow the numbers in the same pass too.
+    """
     parts = []
-    for fields in _passes(list(df.schema.fields)):
+    texts = (T.StringType, T.BinaryType)
+    plain = [f for f in df.schema if not isinstance(f.dataType, texts)]
+    slow = [f for f in df.schema if isinstance(f.dataType, texts)]
+    for fields in [*_passes(plain), *_passes(slow)]:
         aggregates, rows = [], []
         for i, f in enumerate(fields):
             c = col(f.name)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.text import base_name, col, relative_key
+from siltstone.functions.user import one_task_each
 from siltstone.sources.files import list_files, read_target
 from siltstone.storage import Storage, arrow_path
 
@@ -49,10 +50,10 @@ def pending(listing: DataFrame, latest: DataFrame, key: str = "file_key") -> Dat
     return listing.join(done, [key, "fingerprint"], "left_anti")
 
 
-def valid_extractions(archives: DataFrame, latest: DataFrame, key: str = "file_key") -> DataFrame:
-    """Archives whose recorded extraction still has the same fingerprint."""
-    done = latest.filter((F.col("kind") == "archive") & (F.col("status") == "success"))
-    return archives.join(done.select(col(key), "fingerprint", "details"), [key, "fingerprint"])
+def valid_extractions(archives: DataFrame, latest: DataFrame, kind: str = "archive") -> DataFrame:
+    """Archives (or preprocessed files) whose recorded result belongs to the same fingerprint."""
+    done = latest.filter((F.col("kind") == kind) & (F.col("status") == "success"))
+    return archives.join(done.select("file_key", "fingerprint", "details"), ["file_key", "fingerprint"])
 
 
 def select_state(
@@ -98,8 +99,8 @@ def full_fingerprints(spark: SparkSession, paths: Iterable[str], root: str | Non
         F.col("modificationTime").alias("modified"),
         F.sha2("content", 256).alias("fingerprint"),
     )
-    large = list_files(spark, paths).filter(F.col("length") > BYTES_IN_ONE_ROW).repartition("path")
-    streamed = large.mapInPandas(_stream_hashes, small.schema)
+    large = list_files(spark, paths).filter(F.col("length") > BYTES_IN_ONE_ROW)
+    streamed = one_task_each(large).mapInPandas(_stream_hashes, small.schema)
     return small.unionByName(streamed).withColumn("file_key", relative_key(F.col("path"), root))
 
 

@@ -9,10 +9,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.functions.text import col, group_names
 from siltstone.functions.user import apply_transforms
-from siltstone.operators.batches import partition_batches, unmatched, with_partition_values
+from siltstone.operators.batches import combined_hash, partition_batches, unmatched, with_partition_values
 from siltstone.operators.checks import ValidationResult, collect_result, run_checks
 from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_schema, schema_rows
@@ -27,7 +28,7 @@ from siltstone.operators.sinks import (
     write_table,
 )
 from siltstone.operators.state import StateTable, fast_fingerprints, full_fingerprints, pending, valid_extractions
-from siltstone.plans.tables import expand, inventory, plan, resolve_inputs
+from siltstone.plans.tables import expand, inventory, made_paths, plan, resolve_inputs
 from siltstone.session import materialise
 from siltstone.sources.files import list_files
 from siltstone.sources.structured import read_table
@@ -156,21 +157,29 @@ def _fingerprinted(spark: SparkSession, table: TableSpec, paths: list[str]) -> D
 
 def _paths(files: DataFrame) -> list[str]:
     """File paths for a reader, which keeps all of them on the driver in any case."""
-    return sorted(r["path"] for r in files.select("path").toLocalIterator())
+    return sorted(r["path"] for r in files.select("path").collect())
 
 
 def _inputs(
     spark: SparkSession, data: DatasetSpec, table: TableSpec, state: StateTable, declared: DataFrame
 ) -> list[str]:
-    """Paths to read. Archives that were unpacked before and did not change are not unpacked again."""
-    if not table.archives:
-        return resolve_inputs(spark, table)
-    known = valid_extractions(declared, state.latest("archive", table.name))
-    target = f"{data.raw}/unpacked/{table.name}"
-    if declared.join(known.select("file_key"), "file_key", "left_anti").isEmpty() and Storage(spark).exists(target):
-        return [target]
+    """Paths to read. What was unpacked or preprocessed before is used again while its sources
+    are the same."""
+    if not table.archives and not table.preprocess:
+        return table.paths
+    kind = "archive" if table.archives else "preprocess"
+    target = f"{data.raw}/{kind}/{table.name}"
+    known = valid_extractions(declared, state.latest(kind, table.name), kind)
+    fresh = declared.join(known.select("file_key"), "file_key", "left_anti").isEmpty()
+    store = Storage(spark)
+    if fresh and store.exists(target):
+        return made_paths(table, target)
+    if store.exists(target):
+        # members of an archive that changed must not stay beside the new ones
+        store.delete(target)
     paths = resolve_inputs(spark, table, target)
-    state.commit(declared, table.name, "success", kind="archive", details={"unpacked": target})
+    if paths == made_paths(table, target):
+        state.commit(declared, table.name, "success", kind=kind, details={"target": target})
     return paths
 
 
@@ -311,19 +320,33 @@ def generate_schema(
     spark: SparkSession, data: DatasetSpec, output: str | None = None, sampling_ratio: float = 1.0
 ) -> DataFrame:
     """Discovered schemas of all tables as rows, written as JSON when ``output`` is given."""
-    parts = []
+    parts, state = [], StateTable(spark, data.state)
     for table in data.tables:
         found = discover_schema(
             spark, resolve_inputs(spark, table), table.format, table.read_options, sampling_ratio,
             naming_pattern=table.naming_pattern, partition_by=data.partition_keys(table), fixed_width=table.fixed_width,
         )
         parts.append(schema_rows(spark, table.name, found))
+        state.commit(_file_set(spark, table), table.name, "success", kind="schema", details={"output": output or ""})
     schemas = reduce(DataFrame.unionByName, parts)
     if output:
         schemas.coalesce(1).write.mode("overwrite").partitionBy("table_name").json(output)
     return schemas
 
 
+def _file_set(spark: SparkSession, table: TableSpec) -> DataFrame:
+    """One row: the combined hash of the table's files as a fingerprint."""
+    files = _fingerprinted(spark, table, table.archive_paths if table.archives else table.paths)
+    combined = combined_hash(files, [])
+    return combined.select(F.lit("schema").alias("file_key"), F.col("combined_hash").alias("fingerprint"))
+
+
+def schema_is_stale(spark: SparkSession, data: DatasetSpec, table: TableSpec) -> bool:
+    """True when no schema was recorded, or the files have changed since."""
+    recorded = StateTable(spark, data.state).latest("schema", table.name)
+    return not pending(_file_set(spark, table), recorded).isEmpty()
+
+
 def manifest(spark: SparkSession, data: DatasetSpec, table: str | None = None, **filters: str | None) -> DataFrame:
     """Counts per table, or the entries of one table by status, batch_id or file_key."""
     state = StateTable(spark, data.state)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.text import base_name, named_groups
 from siltstone.functions.user import map_items
 from siltstone.operators.align import align, with_file_groups, with_literals
-from siltstone.session import scratch_path
+from siltstone.session import materialise, scratch_path
 from siltstone.sources.archives import archive_files, unpack
 from siltstone.sources.delimited import scan_delimited
 from siltstone.sources.files import list_files
@@ -30,7 +30,7 @@ def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = No
         tabs = table.format != "csv"
         return scan_delimited(spark, paths, table.schema, options, table.preserved, tabs, hive)
     if table.format == "json":
-        return scan_json(spark, paths, options, hive)
+        return scan_json(spark, paths, options, hive, table.schema, table.preserved)
     if table.format == "parquet":
         return scan_parquet(spark, paths, options, hive)
     return scan_fixed_width(spark, paths, table.fixed_width, hive=hive)
@@ -78,18 +78,21 @@ def preprocess_files(spark: SparkSession, table: TableSpec, target: str) -> list
         return str(fn(plain, f"{target.removeprefix('file:')}/{name}"))
 
     files = list_files(spark, table.paths)
-    done = map_items(files.repartition("path"), "path", one).persist()
-    try:
-        failed = done.filter(F.col("error").isNotNull()).limit(3).collect()
-        if failed:
-            raise RuntimeError("; ".join(f"{r['path']}: {r['error']}" for r in failed))
-        elsewhere = done.filter(~F.col("result").startswith(target.removeprefix("file:"))).select("result")
-        paths = [r["result"] for r in elsewhere.distinct().toLocalIterator()]
-        inside = done.count() - len(paths)
-    finally:
-        done.unpersist()
-    wanted = MEMBER_GLOBS.get(table.format)
-    return ([f"{target}/**/{wanted}" if wanted else target] if inside else []) + paths
+    # written once, so that looking at the results does not run the function again
+    done = materialise(map_items(files, "path", one, spread=True), f"results-{table.name}")
+    failed = done.filter(F.col("error").isNotNull()).limit(3).collect()
+    if failed:
+        raise RuntimeError("; ".join(f"{r['path']}: {r['error']}" for r in failed))
+    inside = F.col("result").startswith(target.removeprefix("file:"))
+    paths = sorted(r["result"] for r in done.filter(~inside).select("result").distinct().collect())
+    inside = not done.filter(inside).isEmpty()
+    return (made_paths(table, target) if inside else []) + paths
+
+
+def made_paths(table: TableSpec, target: str) -> list[str]:
+    """What to read below the folder that archives or a preprocess function filled."""
+    wanted = MEMBER_GLOBS.get(table.format) if table.preprocess else None
+    return [f"{target}/**/{wanted}" if wanted else target]
 
 
 def expand(spark: SparkSession, table: TableSpec) -> list[TableSpec]:
@@ -101,9 +104,9 @@ def expand(spark: SparkSession, table: TableSpec) -> list[TableSpec]:
         return [table]
     files = list_files(spark, table.paths).select("path", base_name(F.col("path")).alias("file"))
     groups = named_groups(F.col("file"), table.naming_pattern) if table.naming_pattern else {}
-    rows = files.select("path", "file", *groups.values()).orderBy("path").toLocalIterator()
     out = []
-    for row in rows:
+    # one declaration per file: they live on the driver like all declarations
+    for row in files.select("path", "file", *groups.values()).orderBy("path").collect():
         metadata = {g: row[g] for g in groups if row[g] is not None}
         stem = posixpath.splitext(row["file"])[0]
         name = "".join(c if c.isalnum() else "_" for c in f"{table.name}_{stem}")

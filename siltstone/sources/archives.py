@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.user import one_task_each
+from siltstone.session import materialise
 from siltstone.sources.files import list_files
 from siltstone.storage import arrow_path, file_name
 
@@ -71,15 +73,15 @@ def list_members(archives: DataFrame) -> DataFrame:
     return archives.select("path").mapInPandas(run, MEMBERS)
 
 
-def unpack(archives: DataFrame, target: str, pattern: str = "**/*", tasks: int | None = None) -> DataFrame:
+def unpack(archives: DataFrame, target: str, pattern: str = "**/*") -> DataFrame:
     """Copy matching members below ``target``; (archive, member, path, length) of each.
 
     Target paths follow from archive and member names, and a member appears under
     its name only once complete, so a repeated task writes the same files.
     """
     wanted = glob_regex(pattern)
-    members = list_members(archives).filter(F.col("whole") | F.col("member").rlike(wanted))
-    spread = members.repartition(tasks, "archive", "member") if tasks else members.repartition("archive", "member")
+    listed = list_members(one_task_each(archives.select("path")))
+    members = materialise(listed.filter(F.col("whole") | F.col("member").rlike(wanted)), "members")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -88,7 +90,8 @@ def unpack(archives: DataFrame, target: str, pattern: str = "**/*", tasks: int |
                 rows += _copy(archive, member, target, wanted)
             yield pd.DataFrame(rows, columns=["archive", "member", "path", "length"])
 
-    return spread.mapInPandas(run, UNPACKED)
+    # written, so that using the result does not copy again
+    return materialise(one_task_each(members).mapInPandas(run, UNPACKED), "unpacked")
 
 
 def _copy(archive: str, member: str | None, target: str, wanted: str) -> list[tuple]:

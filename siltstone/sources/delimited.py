@@ -75,16 +75,16 @@ def header_groups(spark: SparkSession, paths: Iterable[str], options: DelimitedO
     """
     paths = list(paths)
     heads = file_heads(list_files(spark, paths), options.skip)
-    heads = heads.filter(F.trim("head") != "")
-    counts = {row["head"]: row["count"] for row in heads.groupBy("head").count().toLocalIterator()}
-    if len(counts) <= 1:
-        return [HeaderGroup(tuple(options.split_header(h)), tuple(paths), n) for h, n in counts.items()]
-    members: dict[str, list[str]] = {head: [] for head in counts}
-    for row in heads.toLocalIterator():
-        members[row["head"]].append(row["path"])
+    heads = heads.filter(F.trim("head") != "").select("path", "head", F.sha2("head", 256).alias("id"))
+    distinct = heads.groupBy("id").agg(F.first("head").alias("head"), F.count("*").alias("files")).collect()
+    if len(distinct) <= 1:
+        return [HeaderGroup(tuple(options.split_header(r["head"])), tuple(paths), r["files"]) for r in distinct]
+    members: dict[str, list[str]] = {r["id"]: [] for r in distinct}
+    for row in heads.select("id", "path").collect():
+        members[row["id"]].append(row["path"])
     return [
-        HeaderGroup(tuple(options.split_header(head)), tuple(sorted(members[head])), counts[head])
-        for head in sorted(counts)
+        HeaderGroup(tuple(options.split_header(r["head"])), tuple(sorted(members[r["id"]])), r["files"])
+        for r in sorted(distinct, key=lambda r: r["head"])
     ]
 
 

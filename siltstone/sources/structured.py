@@ -8,21 +8,60 @@ from typing import Any
 import pandas as pd
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from siltstone.functions.types import parse_type
+from siltstone.operators.align import GUARD_PREFIX
 from siltstone.sources.delimited import unite
 from siltstone.sources.files import list_files, read_target
 from siltstone.storage import arrow_path
 
 
 def scan_json(
-    spark: SparkSession, paths: Iterable[str], options: Mapping[str, Any] | None = None, hive: bool = False
+    spark: SparkSession,
+    paths: Iterable[str],
+    options: Mapping[str, Any] | None = None,
+    hive: bool = False,
+    schema: Mapping[str, str] | None = None,
+    preserved: Iterable[str] = (),
 ) -> DataFrame:
-    """Objects per line, or arrays; ``multiLine`` for documents over several lines."""
+    """Objects per line, or arrays; ``multiLine`` for documents over several lines.
+
+    With a declared schema, lines are read once: a line with an undeclared field
+    fails while it is read. Without one, and for documents over several lines,
+    all fields are inferred first.
+    """
+    given = _texts(options)
     targets, name_filter = read_target(paths)
     reader = spark.read.option("recursiveFileLookup", str(not hive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    return reader.options(**_texts(options)).json(targets)
+    if not schema or given.get("multiLine") == "true":
+        return reader.options(**given).json(targets)
+    lines = reader.text(targets).filter(F.trim("value") != "")
+    return _declared_objects(lines, schema, preserved, given)
+
+
+def _declared_objects(
+    lines: DataFrame, schema: Mapping[str, str], preserved: Iterable[str], options: dict[str, str]
+) -> DataFrame:
+    """Declared fields as STRING (nested ones in their type), one row per object."""
+    folders = [c for c in lines.columns if c != "value"]
+    allowed = F.array(*(F.lit(c) for c in {*schema, *preserved}))
+    # the second parse only happens for a line that holds an array
+    in_array = F.flatten(F.transform(
+        F.from_json("value", "array<map<string,string>>"), lambda fields: F.map_keys(fields)))
+    keys = F.coalesce(F.json_object_keys("value"), in_array, F.array().cast("array<string>"))
+    extra = F.array_except(keys, allowed)
+    message = F.concat(F.lit(f"{GUARD_PREFIX}: undeclared fields "), F.array_join(extra, ", "))
+    checked = F.when(F.size(extra) > 0, F.raise_error(message)).otherwise(F.col("value"))
+    fields = T.ArrayType(T.StructType([
+        T.StructField(n, t if isinstance(t, (T.StructType, T.ArrayType, T.MapType)) else T.StringType())
+        for n, t in ((n, parse_type(k, n)) for n, k in schema.items() if n not in folders)
+    ]))
+    objects = lines.select(*folders, F.from_json(checked, fields, options).alias("objects"))
+    return objects.select(*folders, F.explode_outer("objects").alias("o")).select("o.*", *folders)
 
 
 def scan_parquet(
@@ -62,8 +101,9 @@ def footer_groups(files: DataFrame) -> list[list[str]]:
                 footers.append("\n".join(f"{f.name}\t{f.type}" for f in schema))
             yield pd.DataFrame({"path": batch["path"], "footer": footers})
 
+    footers = files.select("path").mapInPandas(run, "path string, footer string")
     groups: dict[str, list[str]] = {}
-    for row in files.select("path").mapInPandas(run, "path string, footer string").toLocalIterator():
+    for row in footers.select("path", F.sha2("footer", 256).alias("footer")).collect():
         groups.setdefault(row["footer"], []).append(row["path"])
     return [sorted(groups[footer]) for footer in sorted(groups)]
 
