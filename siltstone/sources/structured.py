@@ -6,7 +6,6 @@ from collections.abc import Iterable, Iterator, Mapping
 from typing import Any
 
 import pandas as pd
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +74,7 @@ def scan_parquet(
         reader = reader.option("pathGlobFilter", name_filter)
     try:
         return reader.options(**_texts(options)).parquet(*targets)
-    except PySparkException as exc:
+    except Exception as exc:  # reported as a JVM error or as a PySpark one
         if "CANNOT_MERGE_SCHEMA" not in str(exc) or hive:
             raise
     groups = footer_groups(list_files(spark, paths))
