@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -94,8 +95,13 @@ def require_delta() -> None:
 
 
 def overwrite_partitions(df: DataFrame, path: str, options: WriteOptions) -> None:
-    """Replace the partitions that occur in ``df`` and leave the others alone."""
-    df, keys = prepare(df, options)
+    """Replace the partitions that occur in ``df`` and leave the others alone.
+
+    There is no salt folder: one left from an earlier, larger number of salts
+    would not be replaced. A large partition is still split between tasks.
+    """
+    gather = options.gather or options.salted
+    df, keys = prepare(df, dataclasses.replace(options, salted=False, gather=gather))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

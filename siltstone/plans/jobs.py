@@ -128,12 +128,11 @@ def run_table(spark: SparkSession, data: DatasetSpec, table: TableSpec) -> Outco
     """One table from raw files to its curated layer."""
     state = StateTable(spark, data.state)
     declared = _fingerprinted(spark, table, table.archive_paths if table.archives else table.paths)
-    todo = pending(declared, state.latest("file", table.name))
+    # the state grows during the run, so what is to be done is fixed first
+    todo = materialise(pending(declared, state.latest("file", table.name)), f"pending-{table.name}")
     if todo.isEmpty():
         return Outcome(table.name, "skipped")
     run_id = uuid.uuid4().hex
-    # the state grows during the run, so what is to be done is fixed first
-    todo = materialise(todo, f"pending-{table.name}")
     touched = None
     try:
         inputs = _inputs(spark, data, table, state, declared)
@@ -199,15 +198,31 @@ def _touched_partitions(
     if stray and table.on_unmatched == "error":
         raise ValueError(f"files do not match naming_pattern: {stray}")
     placed = placed.filter(col(keys[0]).isNotNull())
-    batches = partition_batches(placed, keys, table.name)
+    batches = materialise(partition_batches(placed, keys, table.name), f"batches-{table.name}")
     todo = placed.join(batches.select(*keys, "partition", "batch_id"), keys)
     if table.write_mode == "append":
         return todo, _paths(todo), None
     everything = with_partition_values(declared, table.naming_pattern, keys)
-    touched = materialise(batches.select(*keys), f"touched-{table.name}")
+    touched = batches.select(*keys)
     return todo, _paths(everything.join(touched, keys, "left_semi")), touched
 
 
+def _only(frame: DataFrame, partitions: DataFrame | None) -> DataFrame:
+    """The partitions of a written table that a run has touched, as a filter that prunes folders.
+
+    Folder values come back in the types Spark reads from them, so the wanted
+    values are cast to those first. The driver holds them, as it holds the
+    partitions of every table it reads.
+    """
+    if partitions is None:
+        return frame
+    keys = partitions.columns
+    types = {k: frame.schema[k].dataType for k in keys}
+    wanted = partitions.select(*(col(k).cast(types[k]).alias(k) for k in keys)).collect()
+    values = [F.struct(*(F.lit(row[k]).cast(types[k]).alias(k) for k in keys)) for row in wanted]
+    return frame.filter(F.struct(*(col(k) for k in keys)).isin(values))
+
+
 def _build(
     spark: SparkSession, data: DatasetSpec, table: TableSpec, inputs: list[str], touched: DataFrame | None
 ) -> ValidationResult:
@@ -220,16 +235,14 @@ def _build(
         frame = _reread(spark, data, paths.processed)
     else:
         overwrite_partitions(frame, paths.processed, options)
-        # pruned to the partitions of this run; older ones stay as they are
-        frame = _reread(spark, data, paths.processed).join(touched, touched.columns, "left_semi")
+        # older partitions stay as they are
+        frame = _only(_reread(spark, data, paths.processed), touched)
     layout = dataclasses.replace(options, partition_by=_written_keys(frame, options), salted=False)
     if table.transform or data.transform:
         frame = apply_transforms(frame, table.transform, data.transform)
         layout = dataclasses.replace(layout, partition_by=_written_keys(frame, options))
         _replace(spark, frame, paths.transformed, layout, touched)
-        frame = _reread(spark, data, paths.transformed)
-        if touched is not None:
-            frame = frame.join(touched, touched.columns, "left_semi")
+        frame = _only(_reread(spark, data, paths.transformed), touched)
     result = _validated(frame, table)
     if table.output_layer == "curated":
         _replace(spark, _typed(frame, table), paths.curated, layout, touched)
