@@ -14,13 +14,13 @@ from siltstone.spec import TableSpec, TypedColumn
 
 
 @query(
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice, "
+    "SELECT o_orderkey, CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_totalprice END AS o_totalprice, "
     "CAST(o_custkey AS INTEGER) AS o_custkey FROM orders"
 )
 def enforce_adaptive(spark, sf_dir):
     coded = tpch(spark, sf_dir, "orders").select(F.concat(
         landing.field(F.col("o_orderkey"), 12, left=False),
-        landing.field(F.when(F.col("o_orderkey") % 5 == 0, F.lit("ZZZ")).otherwise(F.col("o_totalprice").cast("string")), 14),
+        landing.field(F.when(F.col("o_orderpriority") == "2-HIGH", F.lit("ZZZ")).otherwise(F.col("o_totalprice").cast("string")), 14),
         F.lpad(F.col("o_custkey").cast("string"), 9, "0"),
     ))
     path = landing.lines(spark, sf_dir, "coded-orders", coded)

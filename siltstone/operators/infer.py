@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from siltstone.functions.text import group_names
 from siltstone.functions.types import reported_name
 from siltstone.sources.delimited import DelimitedOptions, scan_delimited
-from siltstone.sources.files import file_heads, list_files
+from siltstone.sources.files import first_records, list_files
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import FixedWidthSpec
 
@@ -69,14 +69,13 @@ def _delimited(
     spark: SparkSession, paths: list[str], options, tabs: bool, sampling_ratio: float, sample_files: int
 ) -> dict[str, tuple[str, str]]:
     opts = DelimitedOptions.of(options, tabs)
-    listing = list_files(spark, paths)
-    if listing.isEmpty():
+    if list_files(spark, paths).isEmpty():
         raise ValueError(f"no files found in {paths}")
-    heads = file_heads(listing, opts.skip).filter(F.trim("head") != "")
+    heads = first_records(spark, paths, opts.skip, opts.encoding)
     # one row per distinct header, with the first file that carries it
     headers = {
         row["head"]: row["first_path"]
-        for row in heads.groupBy("head").agg(F.min("path").alias("first_path")).toLocalIterator()
+        for row in heads.groupBy("head").agg(F.min("path").alias("first_path")).collect()
     }
     sources: dict[str, str] = {}
     columns_of: dict[str, list[str]] = {}

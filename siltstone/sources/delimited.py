@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from siltstone.functions.text import col, quoted
 from siltstone.functions.types import parse_type, reported_name, widen_all
 from siltstone.operators.align import guard_extra_columns
-from siltstone.sources.files import file_heads, list_files, read_target
+from siltstone.sources.files import first_records, read_target
 
 # Option names of other readers and their Spark counterparts.
 OPTION_NAMES = {"delim": "sep", "delimiter": "sep"}
@@ -45,6 +45,10 @@ class DelimitedOptions:
         spark = {k: str(v).lower() if isinstance(v, bool) else str(v) for k, v in given.items()}
         return cls(header, skip, infer, spark)
 
+    @property
+    def encoding(self) -> str:
+        return self.spark.get("encoding", self.spark.get("charset", "utf-8"))
+
     def split_header(self, head: str) -> list[str]:
         if not head.strip():
             return []
@@ -74,8 +78,8 @@ def header_groups(spark: SparkSession, paths: Iterable[str], options: DelimitedO
     file names of each group, which is what Spark's own file index holds there.
     """
     paths = list(paths)
-    heads = file_heads(list_files(spark, paths), options.skip)
-    heads = heads.filter(F.trim("head") != "").select("path", "head", F.sha2("head", 256).alias("id"))
+    heads = first_records(spark, paths, options.skip, options.encoding)
+    heads = heads.select("path", "head", F.sha2("head", 256).alias("id"))
     distinct = heads.groupBy("id").agg(F.first("head").alias("head"), F.count("*").alias("files")).collect()
     if len(distinct) <= 1:
         return [HeaderGroup(tuple(options.split_header(r["head"])), tuple(paths), r["files"]) for r in distinct]
@@ -113,13 +117,9 @@ def scan_delimited(
             guard_extra_columns(group.columns, schema, preserved)
     if not groups:
         return _no_rows(spark, schema)
-    if hive or len(groups) == 1:
-        columns = list(dict.fromkeys(c for g in groups for c in g.columns))
-        if len(groups) > 1:
-            raise ValueError("files of one partitioned folder must share a header")
-        return _read_group(spark, columns, paths, opts, bool(schema), hive)
-    frames = [_read_group(spark, g.columns, g.paths, opts, bool(schema), hive) for g in groups]
-    return unite(frames)
+    # a list of files loses its partition folders unless their base is named
+    base = paths[0] if hive and len(groups) > 1 else None
+    return unite([_read_group(spark, g.columns, g.paths, opts, bool(schema), hive, base) for g in groups])
 
 
 def unite(frames: list[DataFrame]) -> DataFrame:
@@ -141,8 +141,7 @@ def unite(frames: list[DataFrame]) -> DataFrame:
 
 
 def _reader(spark: SparkSession, opts: DelimitedOptions, hive: bool):
-    reader = spark.read.options(**opts.spark).option("recursiveFileLookup", str(not hive).lower())
-    return reader
+    return spark.read.options(**opts.spark).option("recursiveFileLookup", str(not hive).lower())
 
 
 def _load(reader, paths: Iterable[str]) -> DataFrame:
@@ -156,10 +155,14 @@ def _text_struct(columns: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def _read_group(spark, columns, paths, opts: DelimitedOptions, declared: bool, hive: bool) -> DataFrame:
+def _read_group(
+    spark, columns, paths, opts: DelimitedOptions, declared: bool, hive: bool, base: str | None = None
+) -> DataFrame:
     if opts.skip:
         return _read_skipping(spark, columns, paths, opts, drop=opts.skip + 1, infer=not declared and opts.infer)
     reader = _reader(spark, opts, hive).option("header", "true")
+    if base:
+        reader = reader.option("basePath", base)
     if declared or not opts.infer:
         # enforceSchema=false makes the reader compare each file's header with the names
         reader = reader.schema(_text_struct(columns)).option("enforceSchema", "false")

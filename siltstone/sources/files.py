@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Iterable, Iterator
+from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import base_name
@@ -15,6 +17,8 @@ from siltstone.storage import arrow_path
 # A listing task only returns file attributes, so thousands of splits share one task.
 LISTING_TASKS = 2048
 HEAD_BYTES = 1 << 16
+# Schemes that Python workers can open without a Hadoop client.
+DIRECT_SCHEMES = ("", "file", "s3", "s3a", "s3n", "gs")
 
 
 def split_pattern(path: str) -> tuple[str, str | None]:
@@ -55,8 +59,18 @@ def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True
     )
 
 
-def file_heads(files: DataFrame, lines_to_skip: int = 0) -> DataFrame:
-    """(path, head): enough leading text of each file to hold its first record.
+def first_records(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
+    """(path, head): the first record of each file after ``skip`` lines; empty files have none."""
+    paths = list(paths)
+    if all(urlparse(p).scheme in DIRECT_SCHEMES for p in paths):
+        heads = file_heads(list_files(spark, paths), skip, encoding)
+    else:
+        heads = first_lines(spark, paths, skip, encoding)
+    return heads.filter(F.trim("head") != "")
+
+
+def file_heads(files: DataFrame, skip: int = 0, encoding: str = "utf-8") -> DataFrame:
+    """(path, head), read straight from the files of a listing.
 
     Each task opens its files and reads a few kilobytes, so the cost follows the
     number of files rather than their size. Quotes may span lines; the head grows
@@ -65,21 +79,40 @@ def file_heads(files: DataFrame, lines_to_skip: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            heads = [_head(path, lines_to_skip) for path in batch["path"]]
+            heads = [_head(path, skip, encoding) for path in batch["path"]]
             yield pd.DataFrame({"path": batch["path"], "head": heads})
 
     return files.select("path").mapInPandas(run, "path string, head string")
 
 
-def _head(path: str, skip: int) -> str:
+def first_lines(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
+    """(path, head) through Spark's text reader, for file systems only Hadoop can open.
+
+    Reads the lines of each file's first block; a task passes on at most
+    ``skip + 1`` of them. A header has to fit on one line.
+    """
+    targets, name_filter = read_target(paths)
+    reader = spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
+    if name_filter:
+        reader = reader.option("pathGlobFilter", name_filter)
+    lines = reader.text(targets).select(
+        F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")).alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        F.col("value").alias("head"),
+    ).filter("block = 0")
+    numbered = lines.withColumn("line", F.row_number().over(W.partitionBy("path").orderBy("id")))
+    return numbered.filter(F.col("line") <= skip + 1).filter(F.col("line") == skip + 1).select("path", "head")
+
+
+def _head(path: str, skip: int, encoding: str) -> str:
     fs, name = arrow_path(path)
-    text = ""
     with fs.open_input_stream(name, compression="detect") as stream:
         data = b""
         while True:
             chunk = stream.read(HEAD_BYTES)
             data += chunk
-            text = data.decode("utf-8-sig", errors="ignore")
+            text = data.decode(encoding, errors="ignore").removeprefix("\ufeff")
             body = text.split("\n", skip)[-1] if text.count("\n") >= skip else ""
             complete = first_record_end(body)
             if complete is not None:

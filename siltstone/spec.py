@@ -176,6 +176,7 @@ class TableSpec:
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any], validations: Mapping[str, Any] | None = None) -> TableSpec:
         """Build and check a table; ``validations`` are the data set's defaults."""
+        raw = _renamed(raw)
         known = {f.name for f in dataclasses.fields(cls)}
         values = {key: raw[key] for key in raw if key in known and raw[key] is not None}
         schema = load_mapping(raw.get("schema"))
@@ -292,6 +293,28 @@ class TableSpec:
         return [f"table '{self.name}': {problem}" for problem in out]
 
 
+def _renamed(raw: Mapping[str, Any]) -> dict[str, Any]:
+    """Other accepted spellings; unzipping as a preprocess step is an archive scan."""
+    out = dict(raw)
+    for other, name in (("path_pattern", "path"), ("transformation", "transform")):
+        if other in out:
+            out.setdefault(name, out.pop(other))
+    step = out.get("preprocess")
+    if isinstance(step, Mapping):
+        del out["preprocess"]
+        action = step.get("action")
+        if action == "unzip":
+            members = step.get("include") or MEMBER_GLOBS.get(out.get("format", "csv"), "*")
+            out.update(archives=out.pop("path", None), files=f"**/{members}")
+        elif callable(action):
+            out["preprocess"] = action
+        elif action:
+            raise SpecError([f"table '{out.get('name')}': preprocess action must be 'unzip' or a function, not {action!r}"])
+    if isinstance(out.get("transform"), str):
+        raise SpecError([f"table '{out.get('name')}': transform must be a function or class"])
+    return out
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     name: str

@@ -273,6 +273,14 @@ def test_bad_tables(table, words):
         TableSpec.from_dict(table)
 
 
+def test_other_spellings():
+    table = TableSpec.from_dict({"name": "t", "path_pattern": "x.zip", "preprocess": {"action": "unzip"}, "transformation": print})
+    assert (table.archives, table.files, table.path, table.transform) == ("x.zip", "**/*.csv", None, print)
+    assert TableSpec.from_dict({"name": "t", "path": "x", "preprocess": {"action": print}}).preprocess is print
+    with pytest.raises(SpecError, match="function"):
+        TableSpec.from_dict({"name": "t", "path": "x", "preprocess": {"action": "a.py"}})
+
+
 def test_dataset_defaults_and_files(tmp_path, put):
     import json
 

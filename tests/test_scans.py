@@ -14,6 +14,7 @@ from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_folder, discover_schema, rows_per_file
 from siltstone.plans.tables import expand, plan, resolve_inputs
 from siltstone.sources.archives import glob_regex, kind_of, safe_member
+from siltstone.sources.files import file_heads, first_lines, list_files
 from siltstone.sources.fixed_width import ShortLineError, check_lines, read_lines, scan_fixed_width
 from siltstone.sources.logs import scan_logs, select_logs
 from siltstone.sources.synthetic import generate_sales, write_sales
@@ -122,6 +123,31 @@ def test_folder_names_with_spaces(spark, put):
     assert rows(plan(spark, spec)) == [{"id": 1, "state": "CT"}]
 
 
+def test_partition_folders_with_different_headers(spark, put, tmp_path):
+    put("d/k=1/a.csv", "id,v\n1,x\n")
+    put("d/k=2/a.csv", "w,id\n5,2\n")
+    spec = table(tmp_path / "d", schema={"id": "INT", "v": "STRING", "w": "INT"}, hive_partitioning=True, partition_by=("k",))
+    assert rows(plan(spark, spec), "id") == [{"id": 1, "v": "x", "w": None, "k": 1}, {"id": 2, "v": None, "w": 5, "k": 2}]
+
+
+def test_both_ways_to_read_headers_agree(spark, put, tmp_path):
+    put("d/a b.csv", "top\nid,name\r\n1,ann\n")
+    put("d/b.csv", "top\nid\n2\n3\n")
+    put("d/zero.csv", "")
+    for skip in (0, 1):
+        direct = file_heads(list_files(spark, [str(tmp_path / "d")]), skip).filter("head <> ''")
+        assert {(r["path"], r["head"].rstrip()) for r in direct.collect()} == {
+            (r["path"], r["head"].rstrip()) for r in first_lines(spark, [str(tmp_path / "d")], skip).collect()}
+
+
+def test_header_in_another_encoding(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("id,größe\n1,2\n".encode("latin-1"))
+    (tmp_path / "bom.csv").write_bytes(b"\xef\xbb\xbfid,name\n1,ann\n")
+    spec = table(tmp_path / "a.csv", schema={"id": "INT", "größe": "INT"}, read_options={"encoding": "ISO-8859-1"})
+    assert rows(plan(spark, spec)) == [{"id": 1, "größe": 2}]
+    assert rows(plan(spark, table(tmp_path / "bom.csv", schema={"id": "INT", "name": "STRING"}))) == [{"id": 1, "name": "ann"}]
+
+
 def test_file_that_does_not_match_has_null_groups(spark, put):
     spec = table(put("other.csv", "id\n1\n"), naming_pattern=r"(?P<state>[A-Z]{2})_\d")
     assert rows(plan(spark, spec))[0]["state"] is None
