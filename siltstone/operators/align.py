@@ -33,8 +33,10 @@ def with_file_groups(df: DataFrame, pattern: str | None) -> DataFrame:
     """
     if not pattern:
         return df
-    name = F.url_decode(F.regexp_replace("_metadata.file_name", r"\+", "%2B"))
-    groups = named_groups(name, pattern)
+    raw = F.col("_metadata.file_name")
+    # names come encoded like a URI; decoding is skipped where there is nothing to decode
+    decoded = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+    groups = named_groups(F.when(raw.contains("%"), decoded).otherwise(raw), pattern)
     kept = [col(c) for c in df.columns if c not in groups]
     return df.select(*kept, *groups.values())
 

@@ -23,7 +23,7 @@ COLUMNS_PER_PASS = 50
 SAMPLE_SHARE = 20
 SAMPLE_ROWS = (100_000, 20_000_000)
 SKETCH_ACCURACY = 5000
-ROWS_TO_SORT = 50_000
+ROWS_TO_SORT = 100_000
 DRAW = "__draw"
 
 
@@ -110,14 +110,17 @@ class RankSearch:
     high: Any = None
     answer: Any = None
 
-    def inside(self) -> Column:
+    def is_inside(self) -> Column:
         value = col(self.column)
         test = value.isNotNull()
         if self.low is not None:
             test &= value > F.lit(self.low)
         if self.high is not None:
             test &= value < F.lit(self.high)
-        return F.when(test, value)
+        return test
+
+    def inside(self) -> Column:
+        return F.when(self.is_inside(), col(self.column))
 
     def narrow(self, a, b, below: int, at_a: int, between: int, at_b: int) -> None:
         """Keep the part that holds the rank, given the counts around ``a <= b``."""
@@ -167,7 +170,8 @@ def _sort_out(df: DataFrame, searches: list[RankSearch]) -> None:
         F.get(F.sort_array(F.collect_list(s.inside())), F.lit(s.rank)).alias(str(i))
         for i, s in enumerate(searches)
     )
-    for s, value in zip(searches, df.agg(*picks).first()):
+    needed = df.filter(reduce(Column.__or__, (s.is_inside() for s in searches)))
+    for s, value in zip(searches, needed.agg(*picks).first()):
         s.answer = value
 
 
@@ -178,16 +182,19 @@ def _narrow(df: DataFrame, searches: list[RankSearch]) -> None:
         groups.setdefault((s.column, s.low, s.high), []).append(s)
     parts = list(groups.values())
     drawn = df.select("*", F.rand(0).alias(DRAW))
-    sketches = []
+    sketches, draws = [], []
     for i, part in enumerate(parts):
         rows = part[0].rows
         wanted = min(rows, max(SAMPLE_ROWS[0], min(SAMPLE_ROWS[1], rows // SAMPLE_SHARE)))
         slack = 2 / math.sqrt(wanted) + 1 / SKETCH_ACCURACY
         shares = [s.rank / rows for s in part]
         points = [max(0.0, min(shares) - slack), min(1.0, max(shares) + slack)]
-        sampled = F.when(F.col(DRAW) < wanted / rows, part[0].inside())
-        sketches.append(F.percentile_approx(sampled, points, SKETCH_ACCURACY).alias(str(i)))
-    proposals = [bounds or _any_value(df, part[0]) for bounds, part in zip(drawn.agg(*sketches).first(), parts)]
+        draw = part[0].is_inside() & (F.col(DRAW) < wanted / rows)
+        draws.append(draw)
+        sketches.append(F.percentile_approx(F.when(draw, col(part[0].column)), points, SKETCH_ACCURACY).alias(str(i)))
+    # rows that no column draws are dropped before the slower aggregate sees them
+    found = drawn.filter(reduce(Column.__or__, draws)).agg(*sketches).first()
+    proposals = [bounds or _any_value(df, part[0]) for bounds, part in zip(found, parts)]
     counts = []
     for i, (part, (a, b)) in enumerate(zip(parts, proposals)):
         value = part[0].inside()

@@ -294,3 +294,26 @@ def test_dataset_defaults_and_files(tmp_path, put):
     assert (data.target_rows, data.salting, data.target_file_size_mb, data.compression) == (500_000, False, 128, "snappy")
     with pytest.raises(SpecError, match="twice"):
         DatasetSpec.from_dict({"tables": [{"name": "t", "path": "x"}, {"name": "t", "path": "y"}]})
+
+
+def test_command_line(spark, put, tmp_path, monkeypatch, capsys):
+    import json
+
+    from siltstone.__main__ import main
+
+    put("raw/a.csv", "id\n1\n")
+    config = put("c.json", json.dumps({
+        "dataset_name": "d", "storage": {"root": str(tmp_path / "out")},
+        "tables": [{"name": "t", "path": str(tmp_path / "raw/*.csv"), "schema": {"id": "INT"}}]}))
+    log = put("l.jsonl", '{"timestamp": "1", "level": "ERROR", "message": "went wrong"}\n')
+    for arguments, words in (
+        (["run", config, "--dry-run"], "raw/a.csv"),
+        (["run", config, "--skip-summary"], "t: success, 1 files"),
+        (["summarize", config], "row_count"),
+        (["generate-schema", config], "INTEGER"),
+        (["manifest", config, "--table", "t", "--status", "success"], "a.csv"),
+        (["logs", log, "--level", "error"], "went wrong"),
+    ):
+        monkeypatch.setattr("sys.argv", ["siltstone", *arguments])
+        main()
+        assert words in capsys.readouterr().out
