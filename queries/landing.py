@@ -109,7 +109,7 @@ def zipped_customers(spark, sf_dir) -> str:
                     out.writestr("readme.txt", "not data\n")
                 yield pd.DataFrame({"rows": [len(batch)]})
 
-        customers.repartition(4, "c_custkey").mapInPandas(pack, "rows long").write.format("noop").mode("overwrite").save()
+        customers.mapInPandas(pack, "rows long").write.format("noop").mode("overwrite").save()
 
     return landed(spark, sf_dir, "customer-zips", write)
 

@@ -11,7 +11,7 @@ from siltstone.operators.infer import discover_schema, rows_per_file, schema_row
 from siltstone.operators.sinks import WriteOptions, write_table
 from siltstone.operators.state import full_fingerprints
 from siltstone.plans.jobs import dry_run
-from siltstone.plans.tables import plan, resolve_inputs
+from siltstone.plans.tables import expand, plan, resolve_inputs
 from siltstone.session import scratch_path
 from siltstone.sources.delimited import unite
 from siltstone.sources.logs import scan_logs, select_logs
@@ -168,6 +168,15 @@ def filename_metadata(spark, sf_dir):
     return plan(spark, table)
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus AS status FROM orders")
+def expanded_tables(spark, sf_dir):
+    """A table per file; the groups of its name become constants of that table."""
+    path = landing.order_files(spark, sf_dir)
+    schema = {k: v for k, v in ORDERS.items() if k != "o_orderstatus"}
+    whole = TableSpec("orders", f"{path}/*.csv", schema=schema, naming_pattern=r"(?P<status>[A-Z])_\d+\.csv", expand_glob=True)
+    return unite([plan(spark, t) for t in expand(spark, whole)]).select("o_orderkey", "o_totalprice", "status")
+
+
 @query("SELECT *, CAST(o_orderkey // 5000 AS INTEGER) AS block FROM orders")
 def hive_scan(spark, sf_dir):
     path = landing.order_blocks(spark, sf_dir)

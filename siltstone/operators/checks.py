@@ -29,6 +29,21 @@ KEYS: dict[str, type | tuple[type, ...]] = {
 }
 LEVELS = ("level1", "level2")
 
+# What findings say; {n} is a count.
+MESSAGES = {
+    "min_rows": "Row count {n} is less than minimum {limit}",
+    "max_rows": "Row count {n} exceeds maximum {limit}",
+    "missing_columns": "Missing expected columns: {columns}",
+    "extra_columns": "Unexpected extra columns (strict mode): {columns}",
+    "check_nulls": "Null values found in mandatory column: {column} (count: {n})",
+    "check_range": "{n} values in '{column}' outside range [{min}, {max}]",
+    "check_values": "{n} values in '{column}' not in allowed set",
+    "check_pattern": "{n} values in '{column}' do not match pattern '{pattern}'",
+    "check_unique": "{n} values in '{column}' are not unique",
+    "check_custom": "{n} rows break rule: {rule}",
+    "skipped": "Column '{column}' not found, skipping {kind} check",
+}
+
 FINDING = T.StructType([
     T.StructField("column", T.StringType()),
     T.StructField("check", T.StringType()),
@@ -125,7 +140,7 @@ def run_checks(df: DataFrame, config: Mapping[str, Any] | None) -> DataFrame:
     small_minimum = not measures and flat.get("min_rows", ROWS_TO_FETCH + 1) <= ROWS_TO_FETCH
     if "min_rows" in flat:
         minimum = flat["min_rows"]
-        rows = _row_measure("min_rows", minimum, F.count("*") < minimum, "is less than minimum")
+        rows = _row_measure("min_rows", minimum, F.count("*") < minimum)
         if small_minimum:
             parts.append(_evaluate(df.limit(minimum).select(F.lit(1).alias("one")), [rows]))
         else:
@@ -184,27 +199,29 @@ def _evaluate(df: DataFrame, measures: list[Measure]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows))).filter("failed_count > 0")
 
 
-def _text(template: str) -> Callable[[Column], Column]:
-    """A message with the count put in the place of ``{n}``."""
-    before, _, after = template.partition("{n}")
-    if "{n}" not in template:
-        return lambda n: F.lit(template)
-    return lambda n: F.concat(F.lit(before), n.cast("string"), F.lit(after))
+def _text(kind: str, **facts: Any) -> Callable[[Column], Column]:
+    """A message as a column, given the column of its count."""
+    before, counted, after = MESSAGES[kind].partition("{n}")
+    before, after = (_filled(part, facts) for part in (before, after))
+    return lambda n: F.concat(F.lit(before), n.cast("string"), F.lit(after)) if counted else F.lit(before)
+
+
+def _filled(text: str, facts: Mapping[str, Any]) -> str:
+    return text.format(**facts)
 
 
-def _row_measure(check: str, limit: int, broken: Column, words: str) -> Measure:
-    return Measure(check, None, broken.cast("int"), F.count("*"), _text(f"Row count {{n}} {words} {limit}"))
+def _row_measure(check: str, limit: int, broken: Column) -> Measure:
+    return Measure(check, None, broken.cast("int"), F.count("*"), _text(check, limit=limit))
 
 
 def _measures(df: DataFrame, flat: Mapping[str, Any]) -> Iterator[Measure]:
     present = set(df.columns)
     if "max_rows" in flat:
-        yield _row_measure("max_rows", flat["max_rows"], F.count("*") > flat["max_rows"], "exceeds maximum")
+        yield _row_measure("max_rows", flat["max_rows"], F.count("*") > flat["max_rows"])
     for name in flat.get("check_nulls", []):
         if name in present:
             yield Measure(
-                "check_nulls", name, F.count_if(col(name).isNull()), F.count("*"),
-                _text(f"Null values found in mandatory column: {name} (count: {{n}})"),
+                "check_nulls", name, F.count_if(col(name).isNull()), F.count("*"), _text("check_nulls", column=name),
             )
     for name, bounds in flat.get("check_range", {}).items():
         tests = []
@@ -215,25 +232,25 @@ def _measures(df: DataFrame, flat: Mapping[str, Any]) -> Iterator[Measure]:
         if tests:
             yield Measure(
                 "check_range", name, F.count_if(reduce(Column.__or__, tests)), F.count(col(name)),
-                _text(f"{{n}} values in '{name}' outside range [{bounds.get('min')}, {bounds.get('max')}]"),
+                _text("check_range", column=name, min=bounds.get("min"), max=bounds.get("max")),
             )
     for name, allowed in flat.get("check_values", {}).items():
         if name in present:
             yield Measure(
                 "check_values", name, F.count_if(~col(name).isin(list(allowed))), F.count(col(name)),
-                _text(f"{{n}} values in '{name}' not in allowed set"),
+                _text("check_values", column=name),
             )
     for name, pattern in flat.get("check_pattern", {}).items():
         if name in present:
             yield Measure(
                 "check_pattern", name, F.count_if(~full_match(col(name), pattern)), F.count(col(name)),
-                _text(f"{{n}} values in '{name}' do not match pattern '{pattern}'"),
+                _text("check_pattern", column=name, pattern=pattern),
             )
     rules = flat.get("check_custom", [])
     for rule in [rules] if isinstance(rules, str) else rules:
         # as in a SQL CHECK, a rule that is NULL for a row does not fail it
         yield Measure(
-            "check_custom", None, F.count_if(~F.expr(rule)), F.count("*"), _text(f"{{n}} rows break rule: {rule}"),
+            "check_custom", None, F.count_if(~F.expr(rule)), F.count("*"), _text("check_custom", rule=rule),
         )
 
 
@@ -246,10 +263,11 @@ def _column_findings(columns: list[str], flat: Mapping[str, Any]) -> Iterator[tu
     expected = set(rule.get("columns", []) if isinstance(rule, Mapping) else rule)
     actual = set(columns)
     if missing := sorted(expected - actual):
-        yield (None, "expected_columns", f"Missing expected columns: {missing}", "error", len(missing), len(expected))
+        message = _filled(MESSAGES["missing_columns"], {"columns": missing})
+        yield (None, "expected_columns", message, "error", len(missing), len(expected))
     extra = sorted(actual - expected)
     if only and extra:
-        message = f"Unexpected extra columns (strict mode): {extra}"
+        message = _filled(MESSAGES["extra_columns"], {"columns": extra})
         yield (None, "expected_columns", message, "error", len(extra), len(actual))
 
 
@@ -258,8 +276,8 @@ def _missing_column_findings(columns: list[str], flat: Mapping[str, Any]) -> Ite
     for check in ("check_range", "check_values", "check_pattern", "check_unique"):
         for name in flat.get(check, ()):
             if name not in columns:
-                kind = check.removeprefix("check_")
-                yield (name, check, f"Column '{name}' not found, skipping {kind} check", "warn", 0, 0)
+                message = _filled(MESSAGES["skipped"], {"column": name, "kind": check.removeprefix("check_")})
+                yield (name, check, message, "warn", 0, 0)
 
 
 def _unique(df: DataFrame, name: str) -> DataFrame:
@@ -276,7 +294,7 @@ def _unique(df: DataFrame, name: str) -> DataFrame:
     return counts.filter("failed_count > 0").select(
         F.lit(name).alias("column"),
         F.lit("check_unique").alias("check"),
-        F.concat(F.col("failed_count").cast("string"), F.lit(f" values in '{name}' are not unique")).alias("message"),
+        _text("check_unique", column=name)(F.col("failed_count")).alias("message"),
         F.lit("error").alias("severity"),
         "failed_count",
         "total_count",

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import dataclasses
+import glob
 import json
+import os
 import posixpath
 import re
 from collections.abc import Callable, Mapping
@@ -315,6 +317,20 @@ def _renamed(raw: Mapping[str, Any]) -> dict[str, Any]:
     return out
 
 
+def _beside(folder: str, table: Mapping[str, Any]) -> dict[str, Any]:
+    out = dict(table)
+    keys = ["root", "schema", "fixed_width_spec"]
+    if not out.get("root"):
+        keys += ["path", "path_pattern", "archives"]
+    for key in keys:
+        value = out.get(key)
+        if isinstance(value, str) and "://" not in value and not os.path.isabs(value):
+            found = os.path.join(folder, value)
+            if glob.glob(found, recursive=True):
+                out[key] = found
+    return out
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     name: str
@@ -370,7 +386,11 @@ class DatasetSpec:
 
     @classmethod
     def from_file(cls, path: str) -> DatasetSpec:
-        return cls.from_dict(load_mapping(path))
+        """Read a declaration; relative local paths count from its folder, if found there."""
+        raw = load_mapping(path)
+        folder = os.path.dirname(os.path.abspath(path))
+        tables = [_beside(folder, t) for t in raw.get("tables") or (raw.get("data") or {}).get("tables") or []]
+        return cls.from_dict({**raw, "tables": tables})
 
     def partition_keys(self, table: TableSpec) -> list[str]:
         return list(table.partition_by or self.partition_by)

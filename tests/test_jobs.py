@@ -296,6 +296,18 @@ def test_dataset_defaults_and_files(tmp_path, put):
         DatasetSpec.from_dict({"tables": [{"name": "t", "path": "x"}, {"name": "t", "path": "y"}]})
 
 
+def test_paths_beside_the_declaration(tmp_path, put):
+    import json
+
+    put("conf/data/a.csv", "id\n1\n")
+    put("conf/s.json", json.dumps({"id": "INT"}))
+    config = put("conf/c.json", json.dumps({"tables": [
+        {"name": "t", "path": "data/*.csv", "schema": "s.json"}, {"name": "u", "path": "elsewhere/*.csv"}]}))
+    data = DatasetSpec.from_file(config)
+    assert data.tables[0].path == str(tmp_path / "conf/data/*.csv") and data.tables[0].schema == {"id": "INT"}
+    assert data.tables[1].path == "elsewhere/*.csv"
+
+
 def test_command_line(spark, put, tmp_path, monkeypatch, capsys):
     import json
 
