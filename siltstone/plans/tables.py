@@ -11,17 +11,23 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import base_name, named_groups
 from siltstone.functions.user import map_items
-from siltstone.operators.align import align, with_file_groups, with_literals
+from siltstone.operators.align import align, file_groups, with_file_groups, with_literals
 from siltstone.session import materialise, scratch_path
 from siltstone.sources.archives import archive_files, unpack
 from siltstone.sources.delimited import scan_delimited
-from siltstone.sources.files import list_files
+from siltstone.sources.files import encoded_files, list_files
 from siltstone.sources.fixed_width import scan_fixed_width
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import MEMBER_GLOBS, TableSpec
 from siltstone.storage import file_name
 
 
+# Bytes of input from which matching names per row is worth avoiding, and characters of
+# a file list that executors may hold.
+LARGE_INPUT = 256 << 20
+SMALL_LIST = 8 << 20
+
+
 def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None) -> DataFrame:
     """The raw columns of a table's files."""
     paths = list(paths if paths is not None else table.paths)
@@ -41,7 +47,10 @@ def plan(
 ) -> DataFrame:
     """scan, columns from file names, literals, guard and alignment: no job runs for a declared schema
     beyond reading file heads."""
-    df = with_literals(with_file_groups(scan(spark, table, paths), table.naming_pattern), table.metadata)
+    paths = list(paths if paths is not None else table.paths)
+    raw = scan(spark, table, paths)
+    df = with_file_groups(raw, table.naming_pattern, known_groups(spark, paths, table.naming_pattern))
+    df = with_literals(df, table.metadata)
     schema = table.schema
     if not schema:
         return df
@@ -49,6 +58,21 @@ def plan(
     return align(df, schema, [*table.preserved, *missing], table.type_enforcement.get("on_fail", "null"))
 
 
+def known_groups(spark: SparkSession, paths: list[str], pattern: str | None) -> DataFrame | None:
+    """Name groups per file, when the input is large and the list of its files is small.
+
+    Both are measured first; a list above the bound is never sent to executors.
+    """
+    if not pattern:
+        return None
+    files = encoded_files(spark, paths)
+    text = F.sum(F.length("encoded_path") + 2 * F.length("encoded_name"))
+    size = files.agg(F.sum("length").alias("input"), text.alias("list")).first()
+    if (size["input"] or 0) < LARGE_INPUT or size["list"] > SMALL_LIST:
+        return None
+    return file_groups(files, pattern)
+
+
 def resolve_inputs(spark: SparkSession, table: TableSpec, scratch: str | None = None) -> list[str]:
     """Paths to read: as declared, unpacked from archives, or made by a preprocess function."""
     if table.archives:

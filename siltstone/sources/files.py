@@ -59,6 +59,17 @@ def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True
     )
 
 
+def encoded_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """(encoded_path, encoded_name, length): files under the names that ``_metadata`` gives to their rows."""
+    targets, name_filter = read_target(paths)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if name_filter:
+        reader = reader.option("pathGlobFilter", name_filter)
+    return reader.load(targets).select(
+        F.col("_metadata.file_path").alias("encoded_path"), F.col("_metadata.file_name").alias("encoded_name"), "length",
+    ).coalesce(LISTING_TASKS)
+
+
 def first_records(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
     """(path, head): the first record of each file after ``skip`` lines; empty files have none."""
     paths = list(paths)

@@ -9,9 +9,10 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from siltstone.operators.align import ExtraColumnsError
+from siltstone.operators.align import ExtraColumnsError, with_file_groups
 from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_folder, discover_schema, rows_per_file
+from siltstone.plans import tables
 from siltstone.plans.tables import expand, plan, resolve_inputs
 from siltstone.sources.archives import glob_regex, kind_of, safe_member
 from siltstone.sources.files import file_heads, first_lines, list_files
@@ -123,6 +124,24 @@ def test_folder_names_with_spaces(spark, put):
     assert rows(plan(spark, spec)) == [{"id": 1, "state": "CT"}]
 
 
+def test_groups_looked_up_per_file(spark, put, tmp_path, monkeypatch):
+    put("a b/CT_2023%41.csv", "id\n1\n")
+    put("a b/MA_2024+x.csv", "id\n2\n")
+    put("a b/other.csv", "id\n3\n")
+    spec = table(tmp_path / "a b/*.csv", schema={"id": "INT"}, naming_pattern=r"(?P<state>[A-Z]{2})_(?P<year>\d{4}.)")
+    per_row = rows(plan(spark, spec), "id")
+    assert per_row[:2] == [{"id": 1, "state": "CT", "year": "2023%"}, {"id": 2, "state": "MA", "year": "2024+"}]
+    monkeypatch.setattr(tables, "LARGE_INPUT", 0)
+    looked_up = plan(spark, spec)
+    assert rows(looked_up, "id") == per_row and "BroadcastHashJoin" in looked_up._jdf.queryExecution().executedPlan().toString()
+    # rows of a file that was not listed are matched themselves
+    one = tables.known_groups(spark, [str(tmp_path / "a b/MA*.csv")], spec.naming_pattern)
+    assert rows(with_file_groups(tables.scan(spark, spec), spec.naming_pattern, one).select("state"), "state") == sorted(
+        [{"state": r["state"]} for r in per_row], key=lambda r: str(r["state"]))
+    monkeypatch.setattr(tables, "SMALL_LIST", 10)
+    assert tables.known_groups(spark, spec.paths, spec.naming_pattern) is None
+
+
 def test_partition_folders_with_different_headers(spark, put, tmp_path):
     put("d/k=1/a.csv", "id,v\n1,x\n")
     put("d/k=2/a.csv", "w,id\n5,2\n")
