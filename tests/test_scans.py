@@ -195,9 +195,18 @@ def test_json_lines_arrays_and_nulls(spark, put):
 
 @pytest.mark.parametrize("text", ['{"id": 1, "ssn": 2}\n', '[{"id": 1}, {"id": 2, "ssn": 3}]\n'])
 def test_json_with_undeclared_field_fails(spark, put, text):
-    df = plan(spark, table(put("a.json", text), format="json", schema={"id": "INT"}))
-    with pytest.raises(PySparkException, match="Data Integrity Error"):
-        df.collect()
+    with pytest.raises(ExtraColumnsError, match="ssn"):
+        plan(spark, table(put("a.json", text), format="json", schema={"id": "INT"}))
+
+
+def test_declared_json_keeps_text_and_nested_fields(spark, put):
+    path = put("a.json", '{"id": "030", "price": 12.50, "deep": {"x": 1}, "tags": ["a"], "free": {"y": 2}}\n{"id": 4}\n')
+    schema = {"id": "INT", "price": "STRING", "deep": "STRUCT<x: INT>", "tags": "ARRAY<STRING>", "free": "STRING", "gone": "DATE"}
+    df = plan(spark, table(path, format="json", schema=schema))
+    assert df.columns == list(schema) and dict(df.dtypes)["gone"] == "date"
+    first = rows(df, "id")[0]
+    assert (first["id"], first["price"], first["deep"]["x"], first["tags"], first["free"]) == (30, "12.50", 1, ["a"], '{"y": 2}')
+    assert rows(df, "id")[1]["deep"] is None
 
 
 def test_json_over_several_lines(spark, put):
