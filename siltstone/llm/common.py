@@ -58,6 +58,21 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0] if len(at) else np.zeros(1, np.int64)
 
 
+#: Bytes of text that a task turns into arrays at a time, unless one text alone is longer.
+SLICE_BYTES = 4_000_000
+
+
+def slices(batches, column: int):
+    """The batches, cut so that the texts of ``column`` take about SLICE_BYTES each."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1)
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def byte_table(separators) -> np.ndarray:
     """Byte to byte: A-Z lower-cased, separators 0, other bytes as they are."""
     table = np.arange(256, dtype=np.uint8)

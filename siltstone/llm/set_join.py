@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import join_known, kept, mix, ship, shingle_sets, text_bytes
+from siltstone.llm.common import join_known, kept, mix, ship, shingle_sets, slices, text_bytes
 from siltstone.llm.components import components
 from siltstone.session import materialise
 
@@ -34,6 +34,8 @@ SHARE, WHOLE, SIZE = 75, 100, 5
 FILL = 2.4
 #: Groups above this size are hot.
 HOT = 24
+#: Words of 64 bits of a parity sketch.
+WORDS = 16
 #: Leaders that a family of sets made of frequent passages is compared with, besides the first.
 LEADERS = 8
 
@@ -90,14 +92,27 @@ def _signatures(features: np.ndarray, counts: np.ndarray):
 
 
 def _documents(batches):
-    """doc_id, number of shingles and set key of every row."""
+    """doc_id, number of shingles, set key and parity sketch of every row.
+
+    The sketch holds, for 64 * WORDS buckets of features, whether the set has an odd number there: buckets in
+    which two sets differ are at most as many as the features in which they do.
+    """
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches, 1):
         features, counts = shingle_sets(*text_bytes(batch.column(1)), SIZE)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(_set_keys(features, counts).view(np.int64))],
-            names=["doc_id", "n_shingles", "node"])
+            [batch.column(0), pa.array(counts, pa.int64()), pa.array(_set_keys(features, counts).view(np.int64)),
+             pa.ListArray.from_arrays(
+                 pa.array(np.arange(len(counts) + 1, dtype=np.int32) * WORDS), pa.array(_parities(features, counts)))],
+            names=["doc_id", "n_shingles", "node", "sketch"])
+
+
+def _parities(features, counts):
+    width = 64 * WORDS
+    bucket = np.repeat(np.arange(len(counts)), counts) * width + (mix(features) % np.uint64(width)).astype(np.int64)
+    odd = np.bincount(bucket, minlength=len(counts) * width).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
 
 
 def _emit(batches):
@@ -108,7 +123,7 @@ def _emit(batches):
     import pyarrow as pa
 
     seen = np.zeros(0, np.uint64)
-    for batch in batches:
+    for batch in slices(batches, 0):
         features, counts = shingle_sets(*text_bytes(batch.column(0)), SIZE)
         nodes = _set_keys(features, counts)
         first = np.zeros(len(nodes), bool)
@@ -179,7 +194,7 @@ def _features(batches):
     """node and features of every row."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in slices(batches, 0):
         features, counts = shingle_sets(*text_bytes(batch.column(0)), SIZE)
         ends = np.append(0, np.cumsum(counts)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -187,10 +202,22 @@ def _features(batches):
              pa.ListArray.from_arrays(pa.array(ends), pa.array(features.view(np.int64)))], names=["node", "features"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of candidate pairs (a, b) those that are similar enough, tested on the whole sets."""
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Of candidate pairs (a, b) those that are similar enough.
+
+    Sizes and sketches bound the difference from below and rule out most pairs; the rest is tested on whole sets.
+    """
+    for side in ("a", "b"):
+        facts = classes.select(
+            F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
+        pairs = pairs.join(facts, side)
+    odd = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(WORDS))
+    close = materialise(
+        pairs.where(_sizes_fit("n_a", "n_b"))
+        .where(f"({WHOLE + SHARE}) * ({odd}) <= ({WHOLE - SHARE}) * (n_a + n_b)").select("a", "b"), "close")
+    sets = _sets(docs, classes, close)
     both = (
-        pairs.join(sets.select(F.col("node").alias("a"), F.col("features").alias("fa")), "a")
+        close.join(sets.select(F.col("node").alias("a"), F.col("features").alias("fa")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("features").alias("fb")), "b")
         .withColumn("common", F.size(F.array_intersect("fa", "fb"))))
     union = F.size("fa") + F.size("fb") - F.col("common")
@@ -200,7 +227,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """Features of the nodes in ``pairs``, read again from one document of each."""
     wanted, n_wanted = kept(
-        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node")
+        pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id"), "node")
         .select(F.col("doc_id").alias("of"), "node"), "wanted")
     texts = join_known(docs, wanted.select("of").distinct(), n_wanted, docs["doc_id"].eqNullSafe(F.col("of")), "left_semi")
     found = texts.select("text").mapInArrow(_features, "node bigint, features array<bigint>")
@@ -243,10 +270,12 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    meta = materialise(docs.mapInArrow(_documents, "doc_id bigint, n_shingles bigint, node bigint"), "sets")
-    classes = (
-        meta.where("n_shingles > 0").groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
+    meta = materialise(
+        docs.mapInArrow(_documents, "doc_id bigint, n_shingles bigint, node bigint, sketch array<bigint>"), "sets")
+    classes = materialise(
+        meta.where("n_shingles > 0").groupBy("node").agg(
+            F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"),
+            F.any_value("sketch").alias("sketch")), "classes")
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = docs.select("text").mapInArrow(_emit, "sig bigint, node bigint, n int, level tinyint, slack int")
@@ -258,7 +287,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     first = materialise(
         shared.where("node <> lead").where(_sizes_fit("n", "lead_n"))
         .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    links = _linked(first, _sets(docs, classes, first))
+    links = _linked(first, classes, docs)
     families, n_families = kept(components(links), "families")
 
     # sets that cannot do without their hot signatures, and further leaders for them
@@ -272,7 +301,7 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
         crowd.join(leads, "sig").where("family <> lead.family")
         .select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     bound_sets = _sets(docs, classes, bound.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    links = _linked(again, bound_sets)
+    links = _linked(again, classes, docs)
     families, n_families = kept(components(_as_edges(families).union(links)), "families")
 
     # pairs across families: in groups that are not hot, and on single features of the bound sets
@@ -285,10 +314,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     second = materialise(
         _across(cool).union(_across(_in_families(prefix.select("key", "node", "n", "place"), families, n_families))).distinct(),
         "pairs")
-    links = _linked(second, _sets(docs, classes, second))
+    links = _linked(second, classes, docs)
     every = components(_as_edges(families).union(links))
 
-    named = classes.join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = classes.select("node", "doc_id", "copies").join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = materialise(named, "classes")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("rows"))
     small, n_small = kept(
