@@ -5,21 +5,74 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltstone.llm.fingerprints import fingerprints
+from siltstone.llm.html_text import extract_text
+from siltstone.llm.license_scan import license_scan
+from siltstone.llm.mixing import mix_sources
+from siltstone.llm.quality import quality_scores
+from siltstone.llm.secret_scan import secret_scan
+from siltstone.llm.sentencepiece_codec import decode, encode
 from siltstone.llm.set_join import jaccard_components
+from siltstone.llm.sharding import shards
+from siltstone.llm.vector_dedup import near_vectors
+
+#: The vocabulary of public BPE pieces; read on the driver only.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = decode(encode(docs, MODEL), MODEL)
+    return both.select(
+        "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint").alias("n_pieces"), "pieces",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("key")
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_jaccard_join": op10_jaccard_join,
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {fn.__name__: fn for fn in (
+    op1_sentencepiece, op2_license_scan, op3_fingerprints, op4_html_text, op5_shards, op6_secret_scan, op7_quality,
+    op8_near_vectors, op9_mix_sources, op10_jaccard_join)}
 
 ORACLES: dict[str, str] = {
     "op10_jaccard_join": r"""
@@ -37,5 +90,19 @@ reach AS (
     SELECT doc_id AS a, doc_id AS b FROM sets
     UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT doc_id, len(s) AS n_shingles, (SELECT min(b) FROM reach WHERE a = doc_id) AS component_id FROM sets
+""",
+    "op8_near_vectors": """
+WITH RECURSIVE good AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y
+    ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.9),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+found AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = found.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM found
 """,
 }
