@@ -1,4 +1,4 @@
-"""Documents for training: stages, each over all rows that the one before kept."""
+"""Documents for training: five stages, each over all rows that the one before kept."""
 
 from __future__ import annotations
 
@@ -7,21 +7,64 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.llm.common import join_known, kept
+from siltstone.llm.mixing import mix_copies
+from siltstone.llm.quality import keep_good
+from siltstone.llm.queries import MODEL, table
+from siltstone.llm.secret_scan import redact
+from siltstone.llm.sentencepiece_codec import encode
 from siltstone.llm.set_join import jaccard_components
 from siltstone.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects, with their site's record, go."""
+    return keep_good(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one whose doc_id names the group."""
-    groups = jaccard_components(docs).select("doc_id", "component_id").distinct()
-    gone = groups.where("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group of near copies stays: the one whose doc_id names the group.
+
+    Of rows that share both id and group one stays, by the smallest hash of the text. Rows with a null id outside
+    any group stay.
+    """
+    groups = jaccard_components(docs)
+    gone, n_gone = kept(
+        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    twice, n_twice = kept(groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(
+        F.col("doc_id").alias("twice")), "twice")
+    docs = docs.select(*COLUMNS)
+    stay = join_known(docs, gone, n_gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    again = F.col("doc_id").eqNullSafe(F.col("twice"))
+    once = join_known(stay, twice, n_twice, again, "left_anti")
+    repeated = join_known(stay, twice, n_twice, again, "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the texts; every document stays."""
+    clean = redact(docs.select(*COLUMNS))
+    return clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast("bigint"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them."""
+    return mix_copies(docs.select(*COLUMNS))
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as SentencePiece ids, beside the columns of documents."""
+    return encode(docs.select(*COLUMNS), MODEL)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
     ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secrets),
+    ("mixing sources to target weights", mixing),
+    ("SentencePiece encoding and decoding", pieces),
 ]
 
 #: Models and near-duplicate groups are not expressible in SQL; tests/llm hold the stages against brute force.
@@ -30,8 +73,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for at, (name, stage) in enumerate(STAGES):
+    docs = table(spark, sf_dir, "documents")
+    for at, (_, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"stage-{at}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
