@@ -34,8 +34,8 @@ SHARE, WHOLE, SIZE = 75, 100, 5
 FILL = 2.4
 #: Groups above this size are hot.
 HOT = 24
-#: Words of 64 bits of a parity sketch.
-WORDS = 16
+#: Buckets of the smallest parity sketch.
+LEAST_BITS = 512
 #: Leaders that a family of sets made of frequent passages is compared with, besides the first.
 LEADERS = 8
 
@@ -92,33 +92,35 @@ def _signatures(features: np.ndarray, counts: np.ndarray):
 
 
 def _documents(batches):
-    """doc_id, number of shingles, set key and parity sketch of every row.
+    """doc_id, text hash, number of shingles, set key and parity sketch of every row.
 
-    The sketch holds, for 64 * WORDS buckets of features, whether the set has an odd number there: buckets in
-    which two sets differ are at most as many as the features in which they do.
+    The sketch says for each bucket of features whether the set has an odd number there: buckets in which two sets
+    differ are at most as many as the features in which they do. It has about as many buckets as the set has
+    features, a power of two, so that halves of a longer sketch fold onto a shorter one.
     """
     import pyarrow as pa
 
-    for batch in slices(batches, 1):
-        features, counts = shingle_sets(*text_bytes(batch.column(1)), SIZE)
+    for batch in slices(batches, 2):
+        features, counts = shingle_sets(*text_bytes(batch.column(2)), SIZE)
+        words, ends = _parities(features, counts)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(_set_keys(features, counts).view(np.int64)),
-             pa.ListArray.from_arrays(
-                 pa.array(np.arange(len(counts) + 1, dtype=np.int32) * WORDS), pa.array(_parities(features, counts)))],
-            names=["doc_id", "n_shingles", "node", "sketch"])
+            [batch.column(0), batch.column(1), pa.array(counts, pa.int64()),
+             pa.array(_set_keys(features, counts).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(words))],
+            names=["doc_id", "text_hash", "n_shingles", "node", "sketch"])
 
 
 def _parities(features, counts):
-    width = 64 * WORDS
-    bucket = np.repeat(np.arange(len(counts)), counts) * width + (mix(features) % np.uint64(width)).astype(np.int64)
-    odd = np.bincount(bucket, minlength=len(counts) * width).astype(np.uint8) & 1
-    return np.packbits(odd).view(np.int64)
+    bits = np.maximum(LEAST_BITS, 1 << np.ceil(np.log2(np.maximum(counts, 1))).astype(np.int64))
+    ends = np.append(0, np.cumsum(bits))
+    place = (mix(features) & np.repeat(bits - 1, counts).astype(np.uint64)).astype(np.int64)
+    odd = np.bincount(np.repeat(ends[:-1], counts) + place, minlength=int(ends[-1])).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64), (ends // 64).astype(np.int32)
 
 
 def _emit(batches):
     """(signature, node, slack) rows: slack is how many hot signatures of its level the set can do without.
 
-    Copies within a task are dropped here, the others while the sorted signatures are read.
+    Rows that repeat both id and text are dropped within a task here, the others while sorted signatures are read.
     """
     import pyarrow as pa
 
@@ -211,7 +213,10 @@ def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
         facts = classes.select(
             F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}"))
         pairs = pairs.join(facts, side)
-    odd = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(WORDS))
+    fold = "case when size({0}) > size({1}) then " \
+        "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (x, y) -> x ^ y) else {0} end"
+    a, b = fold.format("sketch_a", "sketch_b"), fold.format("sketch_b", "sketch_a")
+    odd = f"aggregate(zip_with({a}, {b}, (x, y) -> bit_count(x ^ y)), 0, (total, x) -> total + x)"
     close = materialise(
         pairs.where(_sizes_fit("n_a", "n_b"))
         .where(f"({WHOLE + SHARE}) * ({odd}) <= ({WHOLE - SHARE}) * (n_a + n_b)").select("a", "b"), "close")
@@ -270,15 +275,21 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    meta = materialise(
-        docs.mapInArrow(_documents, "doc_id bigint, n_shingles bigint, node bigint, sketch array<bigint>"), "sets")
+    meta = materialise(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        _documents, "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint, sketch array<bigint>"), "sets")
     classes = materialise(
         meta.where("n_shingles > 0").groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"),
             F.any_value("sketch").alias("sketch")), "classes")
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    signed = docs.select("text").mapInArrow(_emit, "sig bigint, node bigint, n int, level tinyint, slack int")
+    repeated = classes.where("copies > 1").select("node", F.col("doc_id").alias("first"))
+    copies, n_copies = kept(
+        meta.join(repeated, "node").where("not doc_id <=> first")
+        .select(F.col("doc_id").alias("copy"), "text_hash").distinct(), "copies")
+    originals = join_known(docs, copies, n_copies, docs["doc_id"].eqNullSafe(F.col("copy")) & (
+        F.xxhash64(docs["text"]) == F.col("text_hash")), "left_anti")
+    signed = originals.select("text").mapInArrow(_emit, "sig bigint, node bigint, n int, level tinyint, slack int")
     shared = materialise(
         signed.repartition(partitions, "sig").sortWithinPartitions("sig", "node").mapInArrow(
             _groups, "sig bigint, node bigint, n int, level tinyint, slack int, lead bigint, lead_n int, hot boolean"),
