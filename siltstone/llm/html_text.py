@@ -60,6 +60,7 @@ LABELLED = (
     (1, 0.5, 0.0, 40, 0.0, 60, 0.0, 40, 0), (1, 0.5, 1.0, 2, 1.0, 1, 1.0, 1, 0), (1, 0.5, 0.0, 7, 0.0, 30, 0.0, 30, 0),
     (0, 0.5, 0.0, 60, 0.0, 50, 0.0, 40, 1), (0, 0.5, 0.1, 45, 0.0, 10, 0.0, 60, 1), (0, 0.5, 0.0, 8, 1.0, 2, 0.0, 55, 1),
     (0, 0.5, 0.0, 18, 0.0, 60, 0.0, 30, 1), (0, 0.5, 0.2, 25, 0.0, 40, 0.0, 0, 1), (0, 0.5, 0.0, 12, 0.0, 40, 0.0, 20, 1),
+    (0, 0.5, 0.0, 40, 0.0, 40, 1.0, 4, 1), (0, 0.5, 0.0, 35, 1.0, 2, 1.0, 3, 1), (0, 0.5, 0.0, 5, 1.0, 1, 0.0, 90, 1),
     (0, 0.5, 1.0, 2, 1.0, 2, 1.0, 1, 0), (0, 0.5, 0.9, 12, 0.0, 6, 1.0, 4, 0), (0, 0.5, 1.0, 1, 0.0, 0, 1.0, 2, 0),
     (0, 0.5, 0.7, 30, 0.8, 25, 0.9, 10, 0), (0, 0.5, 1.0, 5, 0.0, 40, 1.0, 4, 0), (0, 0.5, 0.5, 6, 1.0, 3, 0.9, 8, 0),
 )

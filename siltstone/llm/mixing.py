@@ -117,7 +117,7 @@ def mix_sources(
         (F.sum("tokens").over(ahead) - F.col("tokens")).alias("before"))
     cuts = cuts.select(
         F.col("source").alias("of_source"), F.col("block").alias("of_block"), "weight", "whole", "rest", "before",
-        (F.col("before") + F.col("tokens") <= F.col("rest")).alias("inside"), (F.col("before") < F.col("rest")).alias("begun"))
+        ((F.col("rest") > 0) & (F.col("before") + F.col("tokens") <= F.col("rest"))).alias("inside"), (F.col("before") < F.col("rest")).alias("begun"))
     joined = join_known(rows, cuts, n_blocks, rows["source"].eqNullSafe(F.col("of_source")) & (F.col("block") == F.col("of_block")))
     plain = joined.where("inside or not begun").withColumn("copies", F.col("whole") + F.col("inside").cast("int"))
     # at most one block of a source is cut; its rows are counted through

@@ -84,8 +84,8 @@ def linked_parts(parts: DataFrame) -> DataFrame:
     first = F.min(F.when(own, F.col("start"))).over(
         Window.partitionBy("key", "tile", "other").orderBy(F.desc("start"), F.desc("end"), F.desc("kind"))
         .rowsBetween(Window.unboundedPreceding, -1))
-    near = F.least(
-        F.greatest(F.col("start") - last, F.lit(0)), F.greatest(first - F.col("end"), F.lit(0)))
+    gap = lambda g: F.when(g.isNotNull(), F.greatest(g, F.lit(0)))
+    near = F.least(gap(F.col("start") - last), gap(first - F.col("end")))
     beside = out.withColumn("near", near).where(~own & (F.col("near") <= 2 * REACH)).select("key", "kind", "start", "end", "role", "other")
     sets = beside.groupBy("key", "kind", "start", "end", "role").agg(F.collect_set("other").alias("others"))
     has = lambda r: F.array_contains("others", r)
