@@ -130,10 +130,11 @@ def next_documents(docs: DataFrame, chunks: int) -> DataFrame:
         F.struct(F.col("chunk").alias("chunk"), F.lit(False).alias("guest")),
         F.struct(F.pmod(F.col("chunk") - 1, F.lit(max(1, len(bounds)))).alias("chunk"), F.lit(True).alias("guest")))
     ).otherwise(F.array(F.struct(F.col("chunk").alias("chunk"), F.lit(False).alias("guest"))))))
-    order = Window.partitionBy("put.chunk").orderBy("put.guest", F.desc("key"), "text")
-    return (
-        placed.withColumn("next_text", F.lead("text").over(order)).withColumn("next_fp", F.lead("fp").over(order))
-        .where("not put.guest").select("doc_id", "text", "fp", "next_text", "next_fp"))
+    placed = placed.select("doc_id", "text", "fp", "key", F.col("put.chunk").alias("at"), F.col("put.guest").alias("guest"))
+    order = Window.partitionBy("at").orderBy("guest", F.desc("key"), "text")
+    return placed.select(
+        "doc_id", "text", "fp", "guest", F.lead("text").over(order).alias("next_text"), F.lead("fp").over(order).alias("next_fp")
+    ).where("not guest").drop("guest")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
