@@ -5,14 +5,19 @@ from __future__ import annotations
 import argparse
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.plans import jobs
 from siltstone.shipping import ship_packages
 from siltstone.sources.logs import scan_logs, select_logs
 from siltstone.spec import DatasetSpec
 
-ROWS_SHOWN = 1000
+
+def show(df: DataFrame) -> None:
+    """Every row, a partition at a time, as tab-separated text."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
 
 
 def arguments() -> argparse.Namespace:
@@ -42,24 +47,24 @@ def main() -> None:
     args = arguments()
     spark = SparkSession.builder.appName(f"siltstone {args.verb}").getOrCreate()
     if args.verb == "logs":
-        select_logs(scan_logs(spark, [args.path]), args.level, args.batch, args.last).show(ROWS_SHOWN, truncate=False)
+        show(select_logs(scan_logs(spark, [args.path]), args.level, args.batch, args.last))
         return
     ship_packages(spark, str(Path(__file__).resolve().parent.parent), ("siltstone",))
     data = DatasetSpec.from_file(args.config)
     if args.verb == "run" and args.dry_run:
-        jobs.dry_run(spark, data).show(ROWS_SHOWN, truncate=False)
+        show(jobs.dry_run(spark, data))
     elif args.verb == "run":
         for outcome in jobs.run(spark, data, skip_summary=args.skip_summary):
             print(f"{outcome.table}: {outcome.status}, {outcome.files} files", *outcome.warnings, sep="\n  ")
     elif args.verb == "summarize":
         report = jobs.summarize(spark, data)
         if report is not None:
-            report.show(ROWS_SHOWN, truncate=False)
+            show(report)
     elif args.verb == "generate-schema":
-        jobs.generate_schema(spark, data, args.output, args.sampling_ratio).show(ROWS_SHOWN, truncate=False)
+        show(jobs.generate_schema(spark, data, args.output, args.sampling_ratio))
     else:
         filters = {"status": args.status, "batch_id": args.batch_id, "file_key": args.file_key}
-        jobs.manifest(spark, data, args.table, **(filters if args.table else {})).show(ROWS_SHOWN, truncate=False)
+        show(jobs.manifest(spark, data, args.table, **(filters if args.table else {})))
 
 
 if __name__ == "__main__":

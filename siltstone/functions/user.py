@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable, Iterator, Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +64,9 @@ def vectorised(fn: Callable[[pd.Series], pd.Series], returns: str | T.DataType)
 
 def log_plus_one(values: pd.Series) -> pd.Series:
     """``ln(x + 1)``; 0 where it is undefined or x is missing."""
-    return values.map(lambda x: math.log1p(x) if pd.notnull(x) and x > -1 else 0.0)
+    x = values.to_numpy(dtype=float, na_value=np.nan)
+    defined = x > -1
+    return pd.Series(np.where(defined, np.log1p(np.where(defined, x, 0.0)), 0.0), index=values.index)
 
 
 def map_items(

@@ -13,7 +13,8 @@ from siltstone.functions.types import parse_type
 from siltstone.operators.enforce import lenient, strict
 
 
-FILE, NAME, FOUND = "__file", "__name", "__found"
+#: Column of file names of rows that were parsed from lines.
+NAME = "__file_name"
 
 # Fixed value: how the error starts, for callers that look for it.
 GUARD_PREFIX = "[RULE-115] Data Integrity Error"
@@ -28,33 +29,16 @@ def with_literals(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
     return df.withColumns({name: F.lit(value) for name, value in values.items()}) if values else df
 
 
-def with_file_groups(df: DataFrame, pattern: str | None, known: DataFrame | None = None) -> DataFrame:
+def with_file_groups(df: DataFrame, pattern: str | None) -> DataFrame:
     """Named groups of the source file's name as STRING columns.
 
-    Must be applied while the frame still reads from files. ``known`` may hold the
-    groups by file (``file_groups``), small enough to send everywhere: a look-up per
-    row costs less than matching a pattern per row, which then is left for files
-    that were not listed.
+    Must be applied while the frame still reads from files, or carries their names in NAME.
     """
     if not pattern:
-        return df
-    groups = named_groups(decoded_name(F.col("_metadata.file_name")), pattern)
-    kept = [col(c) for c in df.columns if c not in groups]
-    if known is None:
-        return df.select(*kept, *groups.values())
-    located = df.select(*kept, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_name").alias(NAME))
-    matched = named_groups(decoded_name(F.col(NAME)), pattern)
-    joined = located.join(F.broadcast(known), FILE, "left")
-    values = [
-        F.when(F.col(FOUND).isNotNull(), F.col(f"{FOUND}.{g}")).otherwise(matched[g]).alias(g) for g in groups
-    ]
-    return joined.select(*kept, *values)
-
-
-def file_groups(files: DataFrame, pattern: str) -> DataFrame:
-    """The groups of each file of a listing, by the path its rows carry."""
-    groups = named_groups(decoded_name(F.col("encoded_name")), pattern)
-    return files.select(F.col("encoded_path").alias(FILE), F.struct(*groups.values()).alias(FOUND))
+        return df.drop(NAME)
+    name = F.col(NAME) if NAME in df.columns else F.col("_metadata.file_name")
+    groups = named_groups(decoded_name(name), pattern)
+    return df.select(*(col(c) for c in df.columns if c not in groups and c != NAME), *groups.values())
 
 
 def decoded_name(raw: Column) -> Column:

@@ -55,8 +55,6 @@ FINDING = T.StructType([
 
 # A generated method covers the aggregates of one pass; very wide rules take several passes.
 CHECKS_PER_PASS = 100
-# Up to here a row minimum reads just enough rows; larger ones are cheaper to count.
-ROWS_TO_FETCH = 100_000
 
 
 @dataclass(frozen=True)
@@ -108,13 +106,13 @@ def config_problems(config: Mapping[str, Any] | None) -> list[str]:
 
 def _key_problems(key: str, value: Any) -> Iterator[str]:
     if key not in KEYS:
-        yield f"Unknown validation key: '{key}'"
+        yield f"no check is named '{key}'"
         return
     if not isinstance(value, KEYS[key]) or isinstance(value, bool):
-        yield f"Validation key '{key}' cannot be of type {type(value).__name__}"
+        yield f"'{key}' does not take a value of type {type(value).__name__}"
         return
     if key in ("min_rows", "max_rows") and value <= 0:
-        yield f"Validation key '{key}' must be a positive integer, got {value}"
+        yield f"'{key}' counts rows and has to be above 0, not {value}"
     if key == "check_pattern":
         for column, pattern in value.items():
             try:
@@ -137,14 +135,9 @@ def run_checks(df: DataFrame, config: Mapping[str, Any] | None) -> DataFrame:
     measures = list(_measures(df, flat))
     fixed = [*_column_findings(df.columns, flat), *_missing_column_findings(df.columns, flat)]
     parts = []
-    small_minimum = not measures and flat.get("min_rows", ROWS_TO_FETCH + 1) <= ROWS_TO_FETCH
     if "min_rows" in flat:
         minimum = flat["min_rows"]
-        rows = _row_measure("min_rows", minimum, F.count("*") < minimum)
-        if small_minimum:
-            parts.append(_evaluate(df.limit(minimum).select(F.lit(1).alias("one")), [rows]))
-        else:
-            measures.insert(0, rows)
+        measures.insert(0, _row_measure("min_rows", minimum, F.count("*") < minimum))
     for first in range(0, len(measures), CHECKS_PER_PASS):
         parts.append(_evaluate(df, measures[first:first + CHECKS_PER_PASS]))
     parts += [_unique(df, c) for c in flat.get("check_unique", []) if c in df.columns]
@@ -237,7 +230,7 @@ def _measures(df: DataFrame, flat: Mapping[str, Any]) -> Iterator[Measure]:
     for name, allowed in flat.get("check_values", {}).items():
         if name in present:
             yield Measure(
-                "check_values", name, F.count_if(~col(name).isin(list(allowed))), F.count(col(name)),
+                "check_values", name, F.count_if(~col(name).isin([v for v in allowed if v is not None])), F.count(col(name)),
                 _text("check_values", column=name),
             )
     for name, pattern in flat.get("check_pattern", {}).items():

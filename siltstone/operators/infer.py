@@ -12,13 +12,12 @@ from pyspark.sql import Window as W
 
 from siltstone.functions.text import group_names
 from siltstone.functions.types import reported_name
+from siltstone.operators.align import NAME
 from siltstone.sources.delimited import DelimitedOptions, scan_delimited
-from siltstone.sources.files import first_records, list_files
+from siltstone.sources.files import first_records, list_files, literal
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import FixedWidthSpec
 
-SAMPLE_FILES = 50
-
 SCHEMA_TABLE = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("column_name", T.StringType()),
@@ -33,13 +32,15 @@ def discover_schema(
     file_format: str = "csv",
     options: Mapping[str, Any] | None = None,
     sampling_ratio: float = 1.0,
-    sample_files: int = SAMPLE_FILES,
+    sample_files: int | None = None,
     naming_pattern: str | None = None,
     partition_by: Iterable[str] = (),
     fixed_width: FixedWidthSpec | None = None,
 ) -> dict[str, tuple[str, str]]:
     """column → (reported type, Spark type), sorted by column name.
 
+    Types come from all files; ``sample_files`` may limit them to so many, at the caller's risk.
+
     Columns taken from file names and partition folders are added as STRING.
     """
     if file_format in ("csv", "tsv", "tab"):
@@ -66,11 +67,14 @@ def _of(schema: T.StructType) -> dict[str, tuple[str, str]]:
 
 
 def _delimited(
-    spark: SparkSession, paths: list[str], options, tabs: bool, sampling_ratio: float, sample_files: int
+    spark: SparkSession, paths: list[str], options, tabs: bool, sampling_ratio: float, sample_files: int | None
 ) -> dict[str, tuple[str, str]]:
     opts = DelimitedOptions.of(options, tabs)
+    ratio = {"samplingRatio": sampling_ratio} if sampling_ratio < 1 else {}
     if list_files(spark, paths).isEmpty():
         raise ValueError(f"no files found in {paths}")
+    if sample_files is None:
+        return _of(scan_delimited(spark, paths, options={**(options or {}), **ratio}, tabs=tabs).drop(NAME).schema)
     heads = first_records(spark, paths, opts.skip, opts.encoding)
     # one row per distinct header, with the first file that carries it
     headers = {
@@ -91,10 +95,9 @@ def _delimited(
             covered.update(columns_of[sources[name]])
     first_files = heads.orderBy("path").select("path").limit(sample_files + len(required)).collect()
     spare = [r["path"] for r in first_files if r["path"] not in required]
-    sample = sorted(required) + spare[:max(0, sample_files - len(required))]
-    ratio = {"samplingRatio": sampling_ratio} if sampling_ratio < 1 else {}
+    sample = [literal(p) for p in sorted(required) + spare[:max(0, sample_files - len(required))]]
     typed = scan_delimited(spark, sorted(sample), options={**(options or {}), **ratio}, tabs=tabs)
-    found = _of(typed.schema)
+    found = _of(typed.drop(NAME).schema)
     return {name: found.get(name, ("STRING", "string")) for name in sources}
 
 

@@ -112,6 +112,18 @@ def overwrite_partitions(df: DataFrame, path: str, options: WriteOptions) -> Non
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, touched: DataFrame, df: DataFrame) -> None:
+    """Remove the folders of partitions that a run touched and that ``df`` no longer has rows for."""
+    keys = touched.columns
+    left = touched.select(*(col(k).cast("string").alias(k) for k in keys)).join(
+        df.select(*(col(k).cast("string").alias(k) for k in keys)).distinct(), keys, "left_anti")
+    store, escaped = Storage(spark), spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for row in left.toLocalIterator():
+        folder = "/".join([path, *(f"{k}={escaped(row[k])}" for k in keys)])
+        if store.exists(folder):
+            store.delete(folder)
+
+
 def recover(spark: SparkSession, path: str) -> bool:
     """Undo a swap that stopped half way; true when the old table was put back."""
     store = Storage(spark)

@@ -88,7 +88,7 @@ def fast_fingerprints(files: DataFrame, root: str | None = None) -> DataFrame:
 def full_fingerprints(spark: SparkSession, paths: Iterable[str], root: str | None = None) -> DataFrame:
     """The listing with ``file_key`` and the SHA-256 of each file's bytes."""
     paths = list(paths)
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
@@ -156,7 +156,7 @@ class StateTable:
             (F.create_map(*entries) if entries else F.lit(None)).cast("map<string,string>").alias("details"),
             F.lit(run_id or uuid.uuid4().hex).alias("run_id"),
             F.lit(datetime.now(timezone.utc)).cast("timestamp").alias("processed_at"),
-        ).coalesce(64).write.mode("append").parquet(self.path)
+        ).repartition(1 + files.sparkSession.sparkContext.defaultParallelism // 64).write.mode("append").parquet(self.path)
 
     def query(self, table: str, **filters: str | None) -> DataFrame:
         return select_state(self.latest("file", table), **filters)

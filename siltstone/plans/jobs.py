@@ -19,6 +19,7 @@ from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_schema, schema_rows
 from siltstone.operators.profile import describe_columns, profile_columns, report_rows
 from siltstone.operators.sinks import (
+    drop_partitions,
     SALT,
     WriteOptions,
     overwrite_partitions,
@@ -30,7 +31,7 @@ from siltstone.operators.sinks import (
 from siltstone.operators.state import StateTable, fast_fingerprints, full_fingerprints, pending, valid_extractions
 from siltstone.plans.tables import expand, inventory, made_paths, plan, resolve_inputs
 from siltstone.session import materialise
-from siltstone.sources.files import list_files
+from siltstone.sources.files import list_files, literal
 from siltstone.sources.structured import read_table
 from siltstone.spec import DatasetSpec, TableSpec
 from siltstone.storage import Storage
@@ -132,20 +133,49 @@ def run_table(spark: SparkSession, data: DatasetSpec, table: TableSpec) -> Outco
     todo = materialise(pending(declared, state.latest("file", table.name)), f"pending-{table.name}")
     if todo.isEmpty():
         return Outcome(table.name, "skipped")
+    warnings = _stray_files(table, declared)
     run_id = uuid.uuid4().hex
     touched = None
     try:
         inputs = _inputs(spark, data, table, state, declared)
         if table.batch_strategy == "partition_aware":
             todo, inputs, touched = _touched_partitions(spark, table, todo, declared, inputs)
-        elif table.write_mode == "append" and inputs == table.paths:
-            inputs = _paths(todo)
+            if not inputs:
+                return Outcome(table.name, "skipped", warnings=warnings)
+        elif table.write_mode == "append":
+            inputs = _paths(todo) if inputs == table.paths else _unread(spark, data, table, todo)
         result = _build(spark, data, table, inputs, touched)
     except Exception as exc:
-        state.commit(todo, table.name, "failed", details={"error": str(exc)[:500]}, run_id=run_id)
+        state.commit(todo, table.name, "failed", details={"error": str(exc)}, run_id=run_id)
         raise
     state.commit(todo, table.name, "success", details={"dataset": data.name}, run_id=run_id)
-    return Outcome(table.name, "success", todo.count(), tuple(w["message"] for w in result.warnings))
+    return Outcome(table.name, "success", todo.count(), (*warnings, *(w["message"] for w in result.warnings)))
+
+
+def _stray_files(table: TableSpec, declared: DataFrame) -> tuple[str, ...]:
+    """A warning that names files whose names the pattern does not match, or an error under ``on_unmatched: error``.
+
+    Members of archives and preprocessed files are looked at when they exist, with their partitions.
+    """
+    if not table.naming_pattern or table.archives or table.preprocess:
+        return ()
+    groups = group_names(table.naming_pattern)
+    placed = with_partition_values(declared, table.naming_pattern, groups)
+    stray = unmatched(placed, groups).agg(
+        F.count("*").alias("files"), F.min("path").alias("first"), F.max("path").alias("last")).first()
+    if not stray["files"]:
+        return ()
+    text = f"{stray['files']} files do not match naming_pattern, from {stray['first']} to {stray['last']}"
+    if table.on_unmatched == "error":
+        raise ValueError(text)
+    return (text,)
+
+
+def _unread(spark: SparkSession, data: DatasetSpec, table: TableSpec, todo: DataFrame) -> list[str]:
+    """What an append reads of archives or preprocessed files: those whose sources are pending, made anew."""
+    sources = _paths(todo)
+    target = f"{data.raw}/appended/{table.name}-{uuid.uuid4().hex[:12]}"
+    return resolve_inputs(spark, table, target, sources)
 
 
 def _fingerprinted(spark: SparkSession, table: TableSpec, paths: list[str]) -> DataFrame:
@@ -156,7 +186,7 @@ def _fingerprinted(spark: SparkSession, table: TableSpec, paths: list[str]) -> D
 
 def _paths(files: DataFrame) -> list[str]:
     """File paths for a reader, which keeps all of them on the driver in any case."""
-    return sorted(r["path"] for r in files.select("path").collect())
+    return sorted(literal(r["path"]) for r in files.select("path").collect())
 
 
 def _inputs(
@@ -234,7 +264,7 @@ def _build(
         _replace(spark, frame, paths.processed, options)
         frame = _reread(spark, data, paths.processed)
     else:
-        overwrite_partitions(frame, paths.processed, options)
+        _replace(spark, frame, paths.processed, options, touched)
         # older partitions stay as they are
         frame = _only(_reread(spark, data, paths.processed), touched)
     layout = dataclasses.replace(options, partition_by=_written_keys(frame, options), salted=False)
@@ -261,11 +291,13 @@ def _append(spark: SparkSession, data: DatasetSpec, table: TableSpec, frame: Dat
     if table.transform or data.transform:
         result_frame = materialise(apply_transforms(frame, table.transform, data.transform), f"rows-{table.name}")
     result = _validated(result_frame, table)
+    # a value that a strict cast refuses has to stop the run before any layer has grown
+    typed = materialise(_typed(result_frame, table), f"rows-{table.name}") if table.output_layer == "curated" else None
     write_table(frame, paths.processed, options)
     if result_frame is not frame:
         write_table(result_frame, paths.transformed, options)
-    if table.output_layer == "curated":
-        write_table(_typed(result_frame, table), paths.curated, options)
+    if typed is not None:
+        write_table(typed, paths.curated, options)
     return result
 
 
@@ -290,6 +322,7 @@ def _replace(
 ) -> None:
     if touched is not None:
         overwrite_partitions(frame, path, options)
+        drop_partitions(spark, path, touched, frame)
     elif options.output_format == "delta":
         write_table(frame, path, options)
     else:

@@ -11,35 +11,33 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.text import base_name, named_groups
 from siltstone.functions.user import map_items
-from siltstone.operators.align import align, file_groups, with_file_groups, with_literals
+from siltstone.operators.align import align, with_file_groups, with_literals
 from siltstone.session import materialise, scratch_path
 from siltstone.sources.archives import archive_files, unpack
 from siltstone.sources.delimited import scan_delimited
-from siltstone.sources.files import encoded_files, list_files
+from siltstone.sources.files import list_files, literal
 from siltstone.sources.fixed_width import scan_fixed_width
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import MEMBER_GLOBS, TableSpec
 from siltstone.storage import file_name
 
 
-# Bytes of input from which matching names per row is worth avoiding, and characters of
-# a file list that executors may hold.
-LARGE_INPUT = 256 << 20
-SMALL_LIST = 8 << 20
+def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None) -> DataFrame:
+    """The columns of a table's files, and those that their names give."""
 
+    def each(df: DataFrame) -> DataFrame:
+        return with_file_groups(df, table.naming_pattern)
 
-def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None) -> DataFrame:
-    """The raw columns of a table's files."""
     paths = list(paths if paths is not None else table.paths)
     hive, options = table.hive_partitioning, table.read_options
     if table.format in ("csv", "tsv", "tab"):
         tabs = table.format != "csv"
-        return scan_delimited(spark, paths, table.schema, options, table.preserved, tabs, hive)
+        return scan_delimited(spark, paths, table.schema, options, table.preserved, tabs, hive, each)
     if table.format == "json":
-        return scan_json(spark, paths, options, hive, table.schema, table.preserved)
+        return each(scan_json(spark, paths, options, hive, table.schema, table.preserved))
     if table.format == "parquet":
-        return scan_parquet(spark, paths, options, hive)
-    return scan_fixed_width(spark, paths, table.fixed_width, hive=hive)
+        return scan_parquet(spark, paths, options, hive, each)
+    return each(scan_fixed_width(spark, paths, table.fixed_width, hive=hive))
 
 
 def plan(
@@ -48,9 +46,7 @@ def plan(
     """scan, columns from file names, literals, guard and alignment: no job runs for a declared schema
     beyond reading file heads."""
     paths = list(paths if paths is not None else table.paths)
-    raw = scan(spark, table, paths)
-    df = with_file_groups(raw, table.naming_pattern, known_groups(spark, paths, table.naming_pattern))
-    df = with_literals(df, table.metadata)
+    df = with_literals(scan(spark, table, paths), table.metadata)
     schema = table.schema
     if not schema:
         return df
@@ -58,37 +54,27 @@ def plan(
     return align(df, schema, [*table.preserved, *missing], table.type_enforcement.get("on_fail", "null"))
 
 
-def known_groups(spark: SparkSession, paths: list[str], pattern: str | None) -> DataFrame | None:
-    """Name groups per file, when the input is large and the list of its files is small.
+def resolve_inputs(
+    spark: SparkSession, table: TableSpec, scratch: str | None = None, sources: list[str] | None = None
+) -> list[str]:
+    """Paths to read: as declared, unpacked from archives, or made by a preprocess function.
 
-    Both are measured first; a list above the bound is never sent to executors.
+    ``sources`` may name a part of the archives or files to start from.
     """
-    if not pattern:
-        return None
-    files = encoded_files(spark, paths)
-    text = F.sum(F.length("encoded_path") + 2 * F.length("encoded_name"))
-    size = files.agg(F.sum("length").alias("input"), text.alias("list")).first()
-    if (size["input"] or 0) < LARGE_INPUT or size["list"] > SMALL_LIST:
-        return None
-    return file_groups(files, pattern)
-
-
-def resolve_inputs(spark: SparkSession, table: TableSpec, scratch: str | None = None) -> list[str]:
-    """Paths to read: as declared, unpacked from archives, or made by a preprocess function."""
     if table.archives:
         target = scratch or scratch_path(spark, f"unpacked-{table.name}")
-        members = unpack(archive_files(spark, table.archive_paths), target, table.files)
+        members = unpack(archive_files(spark, sources or table.archive_paths), target, table.files)
         # counting runs the copies; the list of members stays on the executors
         if not members.count():
             raise ValueError(f"table '{table.name}': no member matches '{table.files}'")
         return [target]
     if table.preprocess:
         target = scratch or scratch_path(spark, f"preprocessed-{table.name}")
-        return preprocess_files(spark, table, target)
+        return preprocess_files(spark, table, target, sources)
     return table.paths
 
 
-def preprocess_files(spark: SparkSession, table: TableSpec, target: str) -> list[str]:
+def preprocess_files(spark: SparkSession, table: TableSpec, target: str, sources: list[str] | None = None) -> list[str]:
     """Run the table's function on every file, on executors: ``fn(path, output_folder)``.
 
     It returns the path it made. Results below the output folder are read by the
@@ -101,14 +87,14 @@ def preprocess_files(spark: SparkSession, table: TableSpec, target: str) -> list
         plain = path.removeprefix("file:")
         return str(fn(plain, f"{target.removeprefix('file:')}/{name}"))
 
-    files = list_files(spark, table.paths)
+    files = list_files(spark, sources or table.paths)
     # written once, so that looking at the results does not run the function again
     done = materialise(map_items(files, "path", one, spread=True), f"results-{table.name}")
     failed = done.filter(F.col("error").isNotNull()).limit(3).collect()
     if failed:
         raise RuntimeError("; ".join(f"{r['path']}: {r['error']}" for r in failed))
     inside = F.col("result").startswith(target.removeprefix("file:"))
-    paths = sorted(r["result"] for r in done.filter(~inside).select("result").distinct().collect())
+    paths = sorted(literal(r["result"]) for r in done.filter(~inside).select("result").distinct().collect())
     inside = not done.filter(inside).isEmpty()
     return (made_paths(table, target) if inside else []) + paths
 
@@ -128,14 +114,17 @@ def expand(spark: SparkSession, table: TableSpec) -> list[TableSpec]:
         return [table]
     files = list_files(spark, table.paths).select("path", base_name(F.col("path")).alias("file"))
     groups = named_groups(F.col("file"), table.naming_pattern) if table.naming_pattern else {}
-    out = []
+    out, made = [], {}
     # one declaration per file: they live on the driver like all declarations
     for row in files.select("path", "file", *groups.values()).orderBy("path").collect():
         metadata = {g: row[g] for g in groups if row[g] is not None}
         stem = posixpath.splitext(row["file"])[0]
         name = "".join(c if c.isalnum() else "_" for c in f"{table.name}_{stem}")
+        if name in made:
+            raise ValueError(f"files {made[name]} and {row['path']} both give the table name '{name}'")
+        made[name] = row["path"]
         out.append(dataclasses.replace(
-            table, name=name, path=row["path"], root=None, expand_glob=False,
+            table, name=name, path=literal(row["path"]), root=None, expand_glob=False,
             naming_pattern=None, metadata={**table.metadata, **metadata},
         ))
     return out

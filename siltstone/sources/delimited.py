@@ -8,20 +8,22 @@ groups are united by name.
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.text import col, quoted
 from siltstone.functions.types import parse_type, reported_name, widen_all
+from siltstone.operators.align import NAME as FILE_NAME
 from siltstone.operators.align import guard_extra_columns
-from siltstone.sources.files import first_records, read_target
+from siltstone.sources.files import first_records, literal, read_target
 
 # Option names of other readers and their Spark counterparts.
 OPTION_NAMES = {"delim": "sep", "delimiter": "sep"}
@@ -85,7 +87,7 @@ def header_groups(spark: SparkSession, paths: Iterable[str], options: DelimitedO
         return [HeaderGroup(tuple(options.split_header(r["head"])), tuple(paths), r["files"]) for r in distinct]
     members: dict[str, list[str]] = {r["id"]: [] for r in distinct}
     for row in heads.select("id", "path").collect():
-        members[row["id"]].append(row["path"])
+        members[row["id"]].append(literal(row["path"]))
     return [
         HeaderGroup(tuple(options.split_header(r["head"])), tuple(sorted(members[r["id"]])), r["files"])
         for r in sorted(distinct, key=lambda r: r["head"])
@@ -100,16 +102,19 @@ def scan_delimited(
     preserved: Iterable[str] = (),
     tabs: bool = False,
     hive: bool = False,
+    each: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Columns by header name: STRING under a declared schema, inferred without one.
 
+    ``each`` sees the scan of every header before they are united, where rows still know their file.
+
     Undeclared columns fail before anything is read. Without a header a declared
     schema names the columns by position.
     """
     opts = DelimitedOptions.of(options, tabs)
     paths = list(paths)
     if not opts.header:
-        return _headerless(spark, paths, schema, opts, hive)
+        return each(_headerless(spark, paths, schema, opts, hive))
     groups = header_groups(spark, paths, opts)
     for group in groups:
         _reject_duplicates(group.columns)
@@ -119,7 +124,7 @@ def scan_delimited(
         return _no_rows(spark, schema)
     # a list of files loses its partition folders unless their base is named
     base = paths[0] if hive and len(groups) > 1 else None
-    return unite([_read_group(spark, g.columns, g.paths, opts, bool(schema), hive, base) for g in groups])
+    return unite([each(_read_group(spark, g.columns, g.paths, opts, bool(schema), hive, base)) for g in groups])
 
 
 def unite(frames: list[DataFrame]) -> DataFrame:
@@ -144,8 +149,8 @@ def _reader(spark: SparkSession, opts: DelimitedOptions, hive: bool):
     return spark.read.options(**opts.spark).option("recursiveFileLookup", str(not hive).lower())
 
 
-def _load(reader, paths: Iterable[str]) -> DataFrame:
-    targets, name_filter = read_target(paths)
+def _load(spark: SparkSession, reader, paths: Iterable[str]) -> DataFrame:
+    targets, name_filter = read_target(spark, paths)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     return reader.csv(targets)
@@ -159,7 +164,8 @@ def _read_group(
     spark, columns, paths, opts: DelimitedOptions, declared: bool, hive: bool, base: str | None = None
 ) -> DataFrame:
     if opts.skip:
-        return _read_skipping(spark, columns, paths, opts, drop=opts.skip + 1, infer=not declared and opts.infer)
+        infer = not declared and opts.infer
+        return _read_skipping(spark, columns, paths, opts, opts.skip + 1, infer, hive, base)
     reader = _reader(spark, opts, hive).option("header", "true")
     if base:
         reader = reader.option("basePath", base)
@@ -168,59 +174,75 @@ def _read_group(
         reader = reader.schema(_text_struct(columns)).option("enforceSchema", "false")
     else:
         reader = reader.option("inferSchema", "true")
-    return _load(reader, paths)
+    return _load(spark, reader, paths)
 
 
 def _headerless(spark, paths, schema, opts: DelimitedOptions, hive: bool) -> DataFrame:
     if not schema:
         reader = _reader(spark, opts, hive).option("header", "false").option("inferSchema", str(opts.infer).lower())
-        return _load(reader, paths)
+        return _load(spark, reader, paths)
     names = list(schema)
     for group in header_groups(spark, paths, opts):
         if len(group.columns) > len(names):
             extra = [f"column {n + 1}" for n in range(len(names), len(group.columns))]
             guard_extra_columns(extra, {}, ())
     if opts.skip:
-        return _read_skipping(spark, names, paths, opts, drop=opts.skip, infer=False)
-    return _load(_reader(spark, opts, hive).option("header", "false").schema(_text_struct(names)), paths)
+        return _read_skipping(spark, names, paths, opts, opts.skip, False, hive)
+    return _load(spark, _reader(spark, opts, hive).option("header", "false").schema(_text_struct(names)), paths)
+
 
+def _read_skipping(
+    spark, columns, paths, opts: DelimitedOptions, drop: int, infer: bool, hive: bool, base: str | None = None
+) -> DataFrame:
+    """Leave out the first lines of each file, then parse the rest line by line.
 
-def _read_skipping(spark, columns, paths, opts: DelimitedOptions, drop: int, infer: bool) -> DataFrame:
-    """Leave out the first lines of each file, then parse the rest line by line."""
-    targets, name_filter = read_target(paths)
-    reader = spark.read.option("recursiveFileLookup", "true")
+    Partition folders stay columns, and FILE_NAME tells the file of each row.
+    """
+    targets, name_filter = read_target(spark, paths)
+    reader = spark.read.option("recursiveFileLookup", str(not hive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
-    lines = reader.text(targets).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, seen = None, 0
+    if base:
+        reader = reader.option("basePath", base)
+    lines = reader.text(targets)
+    folders = [c for c in lines.columns if c != "value"]
+    lines = lines.select(
+        "value", *(col(c) for c in folders), F.col("_metadata.file_name").alias(FILE_NAME),
+        F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__block"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0  # file and block of the row before, and its lines so far
         for batch in batches:
-            keep = []
-            for file, block in zip(batch["file"], batch["block"]):
-                if (file, block) != current:
-                    current, seen = (file, block), 0
-                seen += 1
-                keep.append(block > 0 or seen > drop)
-            yield batch.loc[keep, ["value"]]
-
-    kept = lines.mapInPandas(run, "value string").filter(F.trim("value") != "")
+            if not batch.num_rows:
+                continue
+            block = batch.column("__block").to_numpy()
+            place = batch.column("__path").dictionary_encode().indices.to_numpy()
+            new = np.append(True, (place[1:] != place[:-1]) | (block[1:] != block[:-1]))
+            starts = np.flatnonzero(new)
+            line = np.arange(len(new)) - np.repeat(starts, np.diff(np.append(starts, len(new))))
+            if (batch.column("__path")[0].as_py(), block[0]) == last:
+                line[: starts[1] if len(starts) > 1 else len(line)] += seen
+            last, seen = (batch.column("__path")[-1].as_py(), block[-1]), int(line[-1]) + 1
+            yield batch.filter(pa.array((block > 0) | (line >= drop))).select(kept_names)
+
+    kept_names = ["value", *folders, FILE_NAME]
+    kept = lines.mapInArrow(run, lines.select(*(col(c) for c in kept_names)).schema).filter(F.trim("value") != "")
     ddl = ", ".join(f"{quoted(c)} STRING" for c in columns)
-    parsed = kept.select(F.from_csv("value", ddl, dict(opts.spark)).alias("r")).select("r.*")
-    return _infer_text(parsed) if infer else parsed
+    parsed = kept.withColumn("value", F.from_csv("value", ddl, dict(opts.spark)))
+    parsed = parsed.select("value.*", *(col(c) for c in folders), FILE_NAME)
+    return _infer_text(parsed, columns) if infer else parsed
 
 
-def _infer_text(df: DataFrame) -> DataFrame:
-    """Types for text columns: the narrowest that every value of a column fits."""
+def _infer_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Types for the text columns named: the narrowest that every value of a column fits."""
+    columns = list(columns)
     kinds = ["INT", "BIGINT", "DOUBLE", "TIMESTAMP"]
     fits = df.agg(*(
         F.count_if(col(c).isNotNull() & col(c).try_cast(k).isNull()).alias(f"{c}|{k}")
-        for c in df.columns for k in kinds
+        for c in columns for k in kinds
     )).first()
-    chosen = {c: next((k for k in kinds if fits[f"{c}|{k}"] == 0), "STRING") for c in df.columns}
-    return df.select(*(col(c).cast(chosen[c]).alias(c) for c in df.columns))
+    chosen = {c: next((k for k in kinds if fits[f"{c}|{k}"] == 0), "STRING") for c in columns}
+    return df.select(*(col(c).cast(chosen[c]).alias(c) if c in chosen else col(c) for c in df.columns))
 
 
 def _reject_duplicates(columns: Iterable[str]) -> None:

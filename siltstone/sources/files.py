@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Iterable, Iterator
 from urllib.parse import urlparse
 
@@ -12,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import base_name
-from siltstone.storage import arrow_path
+from siltstone.storage import Storage, arrow_path
 
 # A listing task only returns file attributes, so thousands of splits share one task.
 LISTING_TASKS = 2048
@@ -21,29 +22,57 @@ HEAD_BYTES = 1 << 16
 DIRECT_SCHEMES = ("", "file", "s3", "s3a", "s3n", "gs")
 
 
-def split_pattern(path: str) -> tuple[str, str | None]:
-    """``dir/**/*.csv`` as (folder, file-name glob); other paths unchanged.
+_SPECIAL = re.compile(r"[\\\[\]{}*?]")
 
-    Hadoop globs have no ``**``; a recursive listing with a name filter does the same.
-    """
+
+def literal(path: str) -> str:
+    """A listed path as a reader takes it: characters that a glob would interpret are escaped."""
+    return _SPECIAL.sub(r"\\\g<0>", path)
+
+
+def split_pattern(path: str) -> tuple[str, str | None]:
+    """``dir/**/x/*.csv`` as (folder, glob below any number of folders); other paths unchanged."""
     if "**" not in path:
         return path, None
     folder, _, rest = path.partition("**")
-    return folder.rstrip("/") or "/", posixpath.basename(rest) or None
+    folder = folder.rstrip("/") if folder.strip("/") else folder[:1] or "."
+    return folder, rest.strip("/") or None
+
 
+def read_target(spark: SparkSession, paths: Iterable[str]) -> tuple[list[str], str | None]:
+    """Load paths and the common file-name filter for a reader.
 
-def read_target(paths: Iterable[str]) -> tuple[list[str], str | None]:
-    """Load paths and the common file-name filter for a reader."""
+    Hadoop globs have no ``**``. Where all paths ask for the same names below their folders, a recursive
+    listing with a name filter is exact; otherwise a pattern stands for one glob per depth that occurs.
+    """
+    paths = list(paths)
     split = [split_pattern(p) for p in paths]
-    filters = {name for _, name in split if name}
-    if len(filters) > 1:
-        raise ValueError(f"one scan cannot use several recursive patterns: {sorted(filters)}")
-    return [folder for folder, _ in split], (filters.pop() if filters else None)
+    rests = {rest for _, rest in split}
+    if len(rests) == 1 and (only := rests.pop()) and "/" not in only:
+        return [folder for folder, _ in split], only
+    targets: list[str] = []
+    for folder, rest in split:
+        targets += [folder] if rest is None else _depths(spark, folder, rest)
+    return list(dict.fromkeys(targets)), None
+
+
+def _depths(spark: SparkSession, folder: str, rest: str) -> list[str]:
+    """Globs without ``**`` that match the same files; the deepest file comes from a distributed listing."""
+    if "**" in rest:
+        raise ValueError(f"a path may hold ** once: {folder}/**/{rest}")
+    store = Storage(spark)
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", posixpath.basename(rest)).load(folder))
+    deepest = found.select(F.max(F.size(F.split("path", "/")))).first()[0] or 0
+    spare = deepest - len(store.qualified(folder).split("/")) - rest.count("/") - 1
+    globs = ["/".join([folder.rstrip("/"), *["*"] * depth, rest]) for depth in range(max(0, spare) + 1)]
+    return [g for g in globs if store.matches(g)] or globs[:1]
 
 
 def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True) -> DataFrame:
     """(path, file_name, length, modified): attributes only, contents are never read."""
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
@@ -59,17 +88,6 @@ def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True
     )
 
 
-def encoded_files(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """(encoded_path, encoded_name, length): files under the names that ``_metadata`` gives to their rows."""
-    targets, name_filter = read_target(paths)
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    return reader.load(targets).select(
-        F.col("_metadata.file_path").alias("encoded_path"), F.col("_metadata.file_name").alias("encoded_name"), "length",
-    ).coalesce(LISTING_TASKS)
-
-
 def first_records(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
     """(path, head): the first record of each file after ``skip`` lines; empty files have none."""
     paths = list(paths)
@@ -102,7 +120,7 @@ def first_lines(spark: SparkSession, paths: Iterable[str], skip: int = 0, encodi
     Reads the lines of each file's first block; a task passes on at most
     ``skip + 1`` of them. A header has to fit on one line.
     """
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)

@@ -20,7 +20,7 @@ class ShortLineError(ValueError):
 
 
 def read_lines(spark: SparkSession, paths: Iterable[str], hive: bool = False) -> DataFrame:
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.option("recursiveFileLookup", str(not hive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)

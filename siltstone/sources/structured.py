@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
 import pandas as pd
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from siltstone.functions.types import parse_type
 from siltstone.operators.align import guard_extra_columns
 from siltstone.sources.delimited import unite
-from siltstone.sources.files import list_files, read_target
+from siltstone.sources.files import list_files, literal, read_target
 from siltstone.storage import arrow_path
 
 
@@ -33,7 +33,7 @@ def scan_json(
     less but takes twice the time: ``from_json`` is that much slower than the reader.)
     """
     given = _texts(options)
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.option("recursiveFileLookup", str(not hive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
@@ -55,21 +55,22 @@ def scan_json(
 
 
 def scan_parquet(
-    spark: SparkSession, paths: Iterable[str], options: Mapping[str, Any] | None = None, hive: bool = False
+    spark: SparkSession, paths: Iterable[str], options: Mapping[str, Any] | None = None, hive: bool = False,
+    each: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """All columns of all files. Footers that disagree on a type are widened."""
+    """All columns of all files. Footers that disagree on a type are widened. ``each`` sees every scan before a union."""
     paths = list(paths)
-    targets, name_filter = read_target(paths)
+    targets, name_filter = read_target(spark, paths)
     reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", str(not hive).lower())
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     try:
-        return reader.options(**_texts(options)).parquet(*targets)
+        return each(reader.options(**_texts(options)).parquet(*targets))
     except Exception as exc:  # reported as a JVM error or as a PySpark one
         if "CANNOT_MERGE_SCHEMA" not in str(exc) or hive:
             raise
     groups = footer_groups(list_files(spark, paths))
-    return unite([spark.read.options(**_texts(options)).parquet(*files) for files in groups])
+    return unite([each(spark.read.options(**_texts(options)).parquet(*files)) for files in groups])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -94,7 +95,7 @@ def footer_groups(files: DataFrame) -> list[list[str]]:
     footers = files.select("path").mapInPandas(run, "path string, footer string")
     groups: dict[str, list[str]] = {}
     for row in footers.select("path", F.sha2("footer", 256).alias("footer")).collect():
-        groups.setdefault(row["footer"], []).append(row["path"])
+        groups.setdefault(row["footer"], []).append(literal(row["path"]))
     return [sorted(groups[footer]) for footer in sorted(groups)]
 
 

@@ -23,6 +23,11 @@ class Storage:
         fs, target = self._open(path)
         return fs.exists(target)
 
+    def qualified(self, path: str) -> str:
+        """The path with the scheme that listings give it."""
+        fs, target = self._open(path)
+        return fs.makeQualified(target).toString()
+
     def is_dir(self, path: str) -> bool:
         fs, target = self._open(path)
         return fs.exists(target) and fs.getFileStatus(target).isDirectory()

@@ -124,22 +124,53 @@ def test_folder_names_with_spaces(spark, put):
     assert rows(plan(spark, spec)) == [{"id": 1, "state": "CT"}]
 
 
-def test_groups_looked_up_per_file(spark, put, tmp_path, monkeypatch):
-    put("a b/CT_2023%41.csv", "id\n1\n")
-    put("a b/MA_2024+x.csv", "id\n2\n")
+def test_groups_of_encoded_names(spark, put, tmp_path):
+    put("a b/KX-11%41.csv", "id\n1\n")
+    put("a b/QW-27+x.csv", "id\n2\n")
     put("a b/other.csv", "id\n3\n")
-    spec = table(tmp_path / "a b/*.csv", schema={"id": "INT"}, naming_pattern=r"(?P<state>[A-Z]{2})_(?P<year>\d{4}.)")
-    per_row = rows(plan(spark, spec), "id")
-    assert per_row[:2] == [{"id": 1, "state": "CT", "year": "2023%"}, {"id": 2, "state": "MA", "year": "2024+"}]
-    monkeypatch.setattr(tables, "LARGE_INPUT", 0)
-    looked_up = plan(spark, spec)
-    assert rows(looked_up, "id") == per_row and "BroadcastHashJoin" in looked_up._jdf.queryExecution().executedPlan().toString()
-    # rows of a file that was not listed are matched themselves
-    one = tables.known_groups(spark, [str(tmp_path / "a b/MA*.csv")], spec.naming_pattern)
-    assert rows(with_file_groups(tables.scan(spark, spec), spec.naming_pattern, one).select("state"), "state") == sorted(
-        [{"state": r["state"]} for r in per_row], key=lambda r: str(r["state"]))
-    monkeypatch.setattr(tables, "SMALL_LIST", 10)
-    assert tables.known_groups(spark, spec.paths, spec.naming_pattern) is None
+    spec = table(tmp_path / "a b/*.csv", schema={"id": "INT"}, naming_pattern=r"(?P<site>[A-Z]{2})-(?P<lot>\d{2}.)")
+    assert rows(plan(spark, spec), "id")[:2] == [{"id": 1, "site": "KX", "lot": "11%"}, {"id": 2, "site": "QW", "lot": "27+"}]
+
+
+def test_names_over_different_headers(spark, put, tmp_path):
+    put("n/KX-11.csv", "id,v\n1,x\n")
+    put("n/QW-27.csv", "w,id\n5,2\n")
+    spec = table(tmp_path / "n/*.csv", schema={"id": "INT", "v": "STRING", "w": "INT"}, naming_pattern=r"(?P<site>[A-Z]{2})-(?P<lot>\d{2})")
+    assert rows(plan(spark, spec), "id") == [
+        {"id": 1, "v": "x", "w": None, "site": "KX", "lot": "11"}, {"id": 2, "v": None, "w": 5, "site": "QW", "lot": "27"}]
+
+
+def test_skipped_lines_keep_names_and_folders(spark, put, tmp_path):
+    put("s/k=1/KX-11.csv", "note\nid\n1\n")
+    put("s/k=2/QW-27.csv", "note\nid\n2\n3\n")
+    more = {"schema": {"id": "INT"}, "naming_pattern": r"(?P<site>[A-Z]{2})-\d+", "read_options": {"skip": 1}}
+    spec = table(tmp_path / "s", hive_partitioning=True, partition_by=("k",), **more)
+    assert rows(plan(spark, spec), "id") == [
+        {"id": 1, "site": "KX", "k": 1}, {"id": 2, "site": "QW", "k": 2}, {"id": 3, "site": "QW", "k": 2}]
+
+
+def test_mixed_and_deep_patterns(spark, put, tmp_path):
+    put("g/x/early/a.csv", "id\n1\n")
+    put("g/x/late/a.csv", "id\n2\n")
+    put("g/early/b.csv", "id\n3\n")
+    put("h/b.txt", "id\n4\n")
+    found = lambda *paths: sorted(r["id"] for r in plan(spark, TableSpec("t", [str(tmp_path / p) for p in paths], schema={"id": "INT"})).collect())
+    assert found("g/**/early/*.csv") == [1, 3]
+    assert found("g/**/*.csv", "h/b.txt") == [1, 2, 3, 4]
+    assert found("g/**/*.csv") == [1, 2, 3]
+
+
+def test_listed_names_are_not_globs(spark, put, tmp_path):
+    from siltstone.sources.files import literal
+
+    names = ["o/a_1.csv", "o/a_[1].csv", "o/a_{1}.csv", "o/a 1?.csv", "o/a*.csv"]
+    for k, name in enumerate(names):
+        put(name, f"{'id' if k % 2 else 'id,v'}\n{k}{'' if k % 2 else ',x'}\n")
+    for k, name in enumerate(names):
+        spec = table(literal(str(tmp_path / name)), schema={"id": "INT", "v": "STRING"})
+        assert [r["id"] for r in plan(spark, spec).collect()] == [k]
+    every = table(str(tmp_path / "o/*.csv"), schema={"id": "INT", "v": "STRING"})
+    assert sorted(r["id"] for r in plan(spark, every).collect()) == [0, 1, 2, 3, 4]
 
 
 def test_partition_folders_with_different_headers(spark, put, tmp_path):

@@ -80,6 +80,8 @@ def test_fingerprints(spark, put, tmp_path, monkeypatch):
 def test_recursive_patterns():
     assert split_pattern("/a/**/*.csv") == ("/a", "*.csv")
     assert split_pattern("/a/*/b.csv") == ("/a/*/b.csv", None)
+    assert split_pattern("**/*.csv") == (".", "*.csv") and split_pattern("/**/*.csv") == ("/", "*.csv")
+    assert split_pattern("/a/**/x/*.csv") == ("/a", "x/*.csv")
 
 
 def named(spark, names):
