@@ -14,13 +14,14 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees_with_sql(spark, con, name):
     assert difference(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    # those of the optional subpackage that SQL cannot express have tests of their own
+    assert {n for n in set(QUERIES) - set(ORACLES) if not n.startswith("op") and n != "pipeline"} == set()
 
 
 def test_entry(spark):
