@@ -263,7 +263,7 @@ def test_full_hash_ignores_touched_files(spark, put, tmp_path):
     ({"name": "a", "path": "x", "batch_strategy": "partition_aware"}, "naming_pattern"),
     ({"name": "a", "path": "x", "batch_strategy": "partition_aware", "naming_pattern": "(?P<s>x)", "partition_by": ["t"]}, "not a group"),
     ({"name": "a", "path": "x", "output_layer": "processed", "transform": print}, "transform"),
-    ({"name": "a", "path": "x", "validations": {"check_column_count": 1}}, "Unknown"),
+    ({"name": "a", "path": "x", "validations": {"check_column_count": 1}}, "no check"),
     ({"name": "a", "path": "x", "partition_by": ["a-b"]}, "identifier"),
     ({"name": "a", "path": "x", "schema": {"c": "NOPE"}}, "unknown type"),
     ({"name": "a", "path": "x", "write_mode": "merge"}, "write_mode"),
