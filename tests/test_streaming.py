@@ -39,3 +39,14 @@ def test_fixed_width_and_json(spark, put, tmp_path):
     assert load(spark, table, tmp_path) == [{"id": "01", "v": "xx"}, {"id": "02", "v": "yy"}]
     with pytest.raises(ValueError, match="declared schema"):
         read_arrivals(spark, TableSpec("t", str(tmp_path / "raw")))
+
+
+def test_every_path_arrives_and_undeclared_fields_stop_the_stream(spark, put, tmp_path):
+    put("one/a.json", '{"id": 1, "v": "x"}\n{"id": 2}\n')
+    put("two/b.json", '{"v": "y", "id": 3}\n')
+    spec = TableSpec("t", [str(tmp_path / "one"), str(tmp_path / "two")], format="json", schema={"id": "INT", "v": "STRING"})
+    append_arrivals(spark, spec, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "id") == [{"id": 1, "v": "x"}, {"id": 2, "v": None}, {"id": 3, "v": "y"}]
+    put("two/c.json", '{"id": 4, "w": 1}\n')
+    with pytest.raises(Exception, match="undeclared fields w"):
+        append_arrivals(spark, spec, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
