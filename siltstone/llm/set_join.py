@@ -306,8 +306,10 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     bound, n_bound = kept(heat.where("heat > room").select("node").distinct(), "bound")
     crowd = _in_families(
         join_known(shared.where("hot").select("sig", "node"), bound, n_bound, "node"), families, n_families)
-    order = F.xxhash64("node", F.pmod("sig", F.lit(LEADERS)))
-    leads = crowd.groupBy("sig").agg(F.min_by(F.struct("node", "family"), order).alias("lead"))
+    # the same few signatures for all that share them, and a leader of its own for each
+    few = Window.partitionBy("node").orderBy(F.xxhash64("sig"), "sig")
+    crowd = crowd.withColumn("place", F.row_number().over(few)).where(F.col("place") <= LEADERS).drop("place")
+    leads = crowd.groupBy("sig").agg(F.min_by(F.struct("node", "family"), F.xxhash64("node", "sig")).alias("lead"))
     again = materialise(
         crowd.join(leads, "sig").where("family <> lead.family")
         .select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
