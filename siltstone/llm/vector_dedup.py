@@ -1,14 +1,15 @@
 """Near copies among embeddings by a forest of random-projection trees.
 
-Each tree splits the space by random directions at the median of a bounded sample, over and over, until a leaf
-holds about LEAF vectors. A vector near a split goes to both sides (spill), so close neighbours are seldom parted in all
-trees. Vectors are compared within leaves only, as blocks of a matrix product in double precision, and only
+Each tree splits the space by random directions at quantiles of a bounded sample, over and over, until a leaf
+holds about LEAF vectors. A vector near a split goes to both sides (spill); how wide that margin is follows from the gaps
+of linked pairs of the sample, so that a split parts few of them. Where no cut does, as within a large group of near
+copies, the leaf stays whole, whatever its size. Vectors are compared within leaves only, as blocks of a matrix product in double precision, and only
 the leaf that two vectors share first, in the order of trees and leaves, counts their link. A leaf's task
 emits, per vector, the number of links and the smallest member it hangs together with: as many rows as
 vectors, never the pairs.
 
-Leaves that grow beyond BLOCK rows, as those of copies that no direction parts do, are dealt out as pairs of
-blocks, each a task of its own with a bounded matrix; nothing is dropped.
+Leaves that grow beyond BLOCK rows are dealt out as pairs of blocks, each a task of its own with a bounded matrix;
+nothing is dropped. Rows that share an earlier large leaf have met there, so their blocks do not meet again.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.common import join_known, kept, ship
@@ -27,8 +28,16 @@ from siltstone.session import materialise
 LEAST = 0.9
 #: Production parameters: trees, vectors of the sample that places the splits, size of a leaf and of a block.
 TREES, SAMPLE, LEAF, BLOCK, SEED = 6, 20_000, 1_500, 3_000, 11
-#: Share of the sample that goes to both sides of a split.
+#: Share of the sample that goes to both sides of a split, at least.
 SPILL = 0.15
+#: Share of a row's links that a split may part (mean over linked rows), share of rows that may go to both sides, and where cuts are tried.
+PARTED, DOUBLED, CUTS, DIRECTIONS = 0.02, 0.3, (0.5, 0.35, 0.65, 0.2, 0.8), 8
+#: Rows of a node whose links are looked at.
+LOOKED_AT = 400
+#: Rows of a block in the largest leaves, blocks up to which a leaf keeps blocks of BLOCK, and large leaves that are told apart.
+BLOCK_MOST, MANY_BLOCKS, LARGE_LEAVES = 20_000, 8, 200
+#: Earlier leaves that a comparison rules out by a product of matrices.
+DENSE_LEAVES = 128
 
 
 @dataclass
@@ -41,10 +50,42 @@ class Forest:
     children: list[np.ndarray]
 
 
-def grow(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, seed: int = SEED) -> Forest:
+def _split(points: np.ndarray, rng, spill: float, least: float):
+    """(direction, low, high, left, right) of the cut that leaves the least to compare, None where each parts linked rows."""
+    some = np.arange(len(points)) if len(points) <= LOOKED_AT else rng.choice(len(points), LOOKED_AT, replace=False)
+    i, j = np.nonzero(np.triu(points[some] @ points[some].T >= least, 1))
+    degree = np.bincount(np.append(i, j), minlength=len(some))
+    share = (1 / degree[i] + 1 / degree[j]) / max(1, np.count_nonzero(degree))
+    best = None
+    for tried in range(DIRECTIONS):
+        if best is not None and tried >= 2:
+            break
+        direction = rng.standard_normal(points.shape[1])
+        at = points @ direction
+        one, two = at[some[i]], at[some[j]]
+        low, high = np.minimum(one, two), np.maximum(one, two)
+        bounds = np.quantile(at, [middle + side * spill / 2 for middle in CUTS for side in (-1, 1)])
+        for a, b in bounds.reshape(-1, 2):
+            gap = np.minimum(a - low, high - b)
+            apart = np.flatnonzero(gap > 0)
+            if share[apart].sum() > PARTED:
+                # the widest gaps may stay apart, all others are covered by the margin
+                apart = apart[np.argsort(-gap[apart])]
+                margin = gap[apart[np.searchsorted(np.cumsum(share[apart]), PARTED, side="right")]]
+                a, b = a - margin, b + margin
+            left, right = at <= b, at >= a
+            of = left.mean(), right.mean()
+            if max(of) < 0.9 and sum(of) - 1 <= DOUBLED and (best is None or of[0] ** 2 + of[1] ** 2 < best[0]):
+                best = of[0] ** 2 + of[1] ** 2, direction, a, b, left, right
+    return best and best[1:]
+
+
+def grow(
+    sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, seed: int = SEED, least: float = LEAST,
+) -> Forest:
     """Trees over unit vectors of a sample that stands for ``total`` vectors.
 
-    A node splits while it stands for more than ``leaf`` vectors and its sample can still be parted.
+    A node splits while it stands for more than ``leaf`` vectors and its sample can be parted without parting linked rows.
     """
     forest = Forest([], [], [], [])
     weight = total / max(1, len(sample))
@@ -57,14 +98,7 @@ def grow(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, s
             rows, parent, side = todo.pop()
             split = None
             if len(rows) * weight > leaf and len(rows) >= 8:
-                for _ in range(4):
-                    direction = rng.standard_normal(sample.shape[1])
-                    at = sample[rows] @ direction
-                    a, b = np.quantile(at, [0.5 - spill / 2, 0.5 + spill / 2])
-                    left, right = at <= b, at >= a
-                    if left.sum() < 0.9 * len(rows) and right.sum() < 0.9 * len(rows):
-                        split = direction, a, b, rows[left], rows[right]
-                        break
+                split = _split(sample[rows], rng, spill, least)
             if split is None:
                 node, leaves = -1 - leaves, leaves + 1
             else:
@@ -73,7 +107,7 @@ def grow(sample: np.ndarray, total: int, trees: int = TREES, leaf: int = LEAF, s
                 low.append(split[1])
                 high.append(split[2])
                 children.append([0, 0])
-                todo += [(split[3], node, 0), (split[4], node, 1)]
+                todo += [(rows[split[3]], node, 0), (rows[split[4]], node, 1)]
             if parent >= 0:
                 children[parent][side] = node
         dim = sample.shape[1] if sample.ndim == 2 else 0
@@ -155,33 +189,54 @@ def _compare(rows, least: float):
         return pd.DataFrame({"node": [], "copies": [], "least": []}).astype("int64")
     (u, a, ca, la), (v, b, cb, lb) = sides
     found_a, found_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    parent: dict[int, int] = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for cut in range(0, len(a), 500):
-        near = u[cut: cut + 500] @ v.T >= least
+    nodes = a if one == two else np.concatenate((a, b))
+    label = np.arange(len(nodes))
+    shift = 0 if one == two else len(a)
+    (da, ta), (db, tb) = _earlier(la[0], lb[0], leaf)
+    open_a, open_b = (ta >= 0).any(axis=1), (tb >= 0).any(axis=1)
+    for cut in range(0, len(a), 250):
+        near = u[cut: cut + 250] @ v.T >= least
         if one == two:
-            near &= np.arange(len(b)) > np.arange(cut, min(cut + 500, len(a)))[:, None]
-        i, j = np.nonzero(near)
-        i = i + cut
-        mine = _first_shared(la, lb, i, j) == leaf
-        i, j = i[mine], j[mine]
-        np.add.at(found_a, i, cb[j])
-        np.add.at(found_b, j, ca[i])
-        # of each row, the pairs with its first partner and between partners in a chain hang the same nodes together
-        for x, y in zip(a[i].tolist(), b[j].tolist()):
-            p, q = root(x), root(y)
-            if p != q:
-                parent[max(p, q)] = min(p, q)
-    out = pd.DataFrame({"node": np.concatenate((a, b)), "copies": np.concatenate((found_a, found_b))})
-    out = out[out["copies"] > 0].groupby("node", as_index=False)["copies"].sum()
-    out["least"] = [root(x) for x in out["node"].tolist()]
-    return out.astype("int64")
+            near &= np.arange(len(b)) > np.arange(cut, min(cut + 250, len(a)))[:, None]
+        if da.shape[1]:
+            near &= da[cut: cut + 250] @ db.T == 0
+        i, j = np.nonzero(near & open_a[cut: cut + 250, None] & open_b)
+        if len(i):
+            met = (_first_shared((ta, None), (tb, None), i + cut, j) < leaf)
+            near[i[met], j[met]] = False
+        found_a[cut: cut + 250] += (near @ cb.astype(float)).astype(np.int64)
+        found_b += (ca[cut: cut + 250].astype(float) @ near).astype(np.int64)
+        for x in np.flatnonzero(near.any(axis=1)).tolist():
+            mine, others = label[cut + x], label[shift:][near[x]]
+            if (others != mine).any():
+                hung = np.unique(np.append(others, mine))
+                label[np.isin(label, hung)] = hung[0]
+    smallest = np.full(len(nodes), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, label, nodes)
+    copies = found_a + found_b if one == two else np.concatenate((found_a, found_b))
+    out = pd.DataFrame({"node": nodes, "copies": copies, "least": smallest[label]})
+    return out[out["copies"] > 0].astype("int64")
+
+
+def _earlier(la: np.ndarray, lb: np.ndarray, leaf: int):
+    """Leaves before ``leaf`` that rows of both sides hold: the most frequent as columns of 0 and 1, all others as tables."""
+    ia, ib = (np.unique(x[(x >= 0) & (x < leaf)], return_counts=True) for x in (la, lb))
+    both, at_a, at_b = np.intersect1d(ia[0], ib[0], assume_unique=True, return_indices=True)
+    # a leaf that only one row of the two sides holds is held by no pair
+    weight = ia[1][at_a] * ib[1][at_b]
+    both, weight = both[weight > (1 if la is lb else 0)], weight[weight > (1 if la is lb else 0)]
+    order = both[np.argsort(-weight, kind="stable")]
+    dense = np.sort(order[:DENSE_LEAVES])
+    rest = np.sort(order[DENSE_LEAVES:])
+    out = []
+    for table in (la, lb):
+        flags = np.zeros((len(table), len(dense)), np.float32)
+        if len(dense):
+            place = np.minimum(np.searchsorted(dense, table), len(dense) - 1)
+            row, column = np.nonzero(dense[place] == table)
+            flags[row, place[row, column]] = 1
+        out.append((flags, np.where(np.isin(table, rest), table, -1)))
+    return out
 
 
 def _leaf_sets(lists) -> tuple[np.ndarray, np.ndarray]:
@@ -229,15 +284,26 @@ def near_vectors(
         chosen = same.orderBy(F.xxhash64("key"), "key").limit(sample).select("embedding").collect()
         points = np.array([r[0] for r in chosen], float)
         points = points / np.abs(points).max(axis=1, keepdims=True)
-        forest = grow(points / np.linalg.norm(points, axis=1, keepdims=True), total, trees, leaf)
+        forest = grow(points / np.linalg.norm(points, axis=1, keepdims=True), total, trees, leaf, least=least)
         routed = materialise(same.select("node", "copies", "embedding").mapInArrow(
             lambda batches, forest=forest: _route(batches, forest),
             "leaf bigint, node bigint, copies bigint, unit array<double>, leaves array<bigint>"), "leaves")
-        blocks = routed.groupBy("leaf").agg(F.count("*").alias("size"))
-        blocks = blocks.select("leaf", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-        dealt = routed.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        # a block meets itself and every other one: as many tasks as pairs of blocks
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        sizes = routed.groupBy("leaf").agg(F.count("*").alias("size"))
+        large = [r["leaf"] for r in sizes.where(F.col("size") > block).orderBy(F.desc("size"), "leaf").limit(LARGE_LEAVES).collect()]
+        # of a large leaf's rows, those that share an earlier large leaf form a class whose blocks have met
+        met = F.array_min(F.filter(F.array_intersect("leaves", F.lit(large).cast("array<bigint>")), lambda x: x < F.col("leaf")))
+        split = routed.withColumn("met", F.coalesce(F.when(F.col("leaf").isin(large), met), F.lit(-1)) if large else F.lit(-1).cast("bigint"))
+        of = Window.partitionBy("leaf")
+        wide = F.greatest(F.lit(block), F.least(F.lit(BLOCK_MOST), F.col("total") / MANY_BLOCKS))
+        blocks = split.groupBy("leaf", "met").agg(F.count("*").alias("size")).withColumn("total", F.sum("size").over(of))
+        blocks = blocks.withColumn("blocks", F.ceil(F.col("size") / wide).cast("int")).select(
+            "leaf", "met", "blocks", F.sum("blocks").over(of).cast("int").alias("all"),
+            (F.sum("blocks").over(of.orderBy("met")) - F.col("blocks")).cast("int").alias("first"))
+        dealt = split.join(blocks, ["leaf", "met"]).withColumn(
+            "block", F.col("first") + F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        # a block meets itself and every other one that it has not met: as many tasks as pairs of blocks
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("all") - 1))).where(
+            "met < 0 or other < first or other >= first + blocks").select(
             "leaf", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
             "node", "copies", "unit", "leaves")
         found = dealt.groupBy("leaf", "one", "two").applyInPandas(

@@ -195,6 +195,31 @@ def test_leaves_cover_every_vector():
     assert np.bincount(np.unique(leaves, return_inverse=True)[1]).max() < 300
 
 
+def test_a_large_group_keeps_its_links_at_depth():
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((30_000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    noise = rng.standard_normal((10_000, 64))
+    points[:10_000] = points[0] + noise / np.linalg.norm(noise, axis=1, keepdims=True) * 0.33
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    # the sample stands for 100,000 vectors, so that trees grow as deep as there
+    forest = vector_dedup.grow(points[rng.permutation(30_000)[:20_000]], 100_000)
+    some = rng.permutation(10_000)[:800]
+    rows, leaves = vector_dedup.leaves_of(forest, points[some])
+    member = np.zeros((800, len(np.unique(leaves))))
+    member[rows, np.unique(leaves, return_inverse=True)[1]] = 1
+    linked = np.triu(points[some] @ points[some].T >= 0.9, 1)
+    assert linked.sum() > 10_000 and (member @ member.T > 0)[linked].mean() >= 0.95
+
+
+def test_rows_that_met_in_a_large_leaf_are_counted_once(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in (1 if i % 3 else 0) * 9 * np.eye(16)[0] + rng.standard_normal(16)]) for i in range(700)]
+    got, want = near(spark, rows, leaf=100, block=60), brute_vectors(rows)
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert sum(x[0] for x in got.values()) >= 0.97 * sum(x[0] for x in want.values())
+
+
 def test_no_vectors(spark):
     assert near(spark, []) == {} and near(spark, [(1, None)]) == {1: (0, 1, True)}
 
