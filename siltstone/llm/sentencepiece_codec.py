@@ -2,13 +2,14 @@
 
 The vocabulary is read from a ``.model`` file on the driver and sent to the tasks (a few MB, bounded by
 the vocabulary). Encoding takes the candidate merges of a unit by score, leftmost first, as the agenda of
-SentencePiece does; a candidate is skipped for good when a keyed hash of (seed, stream, span) falls below
-the dropout. A stream number is drawn per unit by a hash of (seed, doc_id, place), so repeated words are cut in
+SentencePiece does; a candidate is skipped for good when a keyed hash of (seed, unit, stream, span) falls below
+the dropout. The stream is a hash of (seed, doc_id, place), one per occurrence of a unit, so repeated words are cut in
 different ways while the same seed always gives the same pieces. Without dropout the pieces equal the library's.
 
 No piece of such a vocabulary holds a letter before a space sign, so no merge crosses the start of a run
-of spaces: text falls into independent units there, which are encoded together as array operations, each distinct
-(unit, stream) once. Units beyond LONG letters go through a heap instead, in n log n steps.
+of spaces: text falls into independent units there, which are encoded together as array operations: each distinct
+unit once without dropout, and again the occurrences whose stream drops one of the candidates met on the way.
+Units beyond LONG letters go through a heap instead, in n log n steps.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from siltstone.llm.common import mix, ship
 
 #: The sign that stands for a space, and a code above Unicode for that sign itself as text.
 SPACE, LITERAL = 0x2581, 0x110000
-#: Production parameters.
-DROPOUT, SEED, STREAMS = 0.1, 17, 16
+#: Production parameters; a number of streams limits the segmentations of a unit under one seed, None does not.
+DROPOUT, SEED, STREAMS = 0.1, 17, None
 #: Letters of a unit above which the heap is used, and code points that are encoded at a time.
 LONG, SLICE = 96, 1_000_000
 
@@ -117,8 +118,11 @@ def _skipped(key: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float
     return mix(key ^ mix(span + np.uint64(1))) < np.uint64(int(dropout * 2.0**64))
 
 
-def _agenda_short(v, ids, keys, dropout):
-    """Pieces of units of equal length, one per row of ``ids``: (row, place, piece) arrays in order."""
+def _agenda_short(v, ids, keys, dropout, met=None):
+    """Pieces of units of equal length, one per row of ``ids``: (row, place, piece) arrays in order.
+
+    ``met`` takes (row, start, end) arrays of all candidates.
+    """
     n, length = ids.shape
     rows = np.arange(n)
     starts = np.broadcast_to(np.arange(length + 1), (n, length + 1)).copy()  # start of each symbol, then the end
@@ -127,8 +131,10 @@ def _agenda_short(v, ids, keys, dropout):
     def ranked(ids, starts, keys):
         piece = _merge(v, ids[:, :-1], ids[:, 1:])
         order = np.where(piece >= 0, v.rank[piece], _NONE)
+        at = np.nonzero(piece >= 0)
+        if met is not None:
+            met.append((at[0], starts[at[0], at[1]], starts[at[0], at[1] + 2]))
         if dropout > 0:
-            at = np.nonzero(piece >= 0)
             drop = _skipped(keys[at[0]], starts[at[0], at[1]], starts[at[0], at[1] + 2], dropout)
             order[at[0][drop], at[1][drop]] = _NONE
         return piece, order
@@ -159,6 +165,9 @@ def _agenda_short(v, ids, keys, dropout):
                 place = side[at]
                 new = _merge(v, ids[at, place], ids[at, place + 1])
                 value = np.where(new >= 0, v.rank[new], _NONE)
+                if met is not None:
+                    some = new >= 0
+                    met.append((rows[at[some]], starts[at[some], place[some]], starts[at[some], place[some] + 2]))
                 if dropout > 0:
                     value[_skipped(keys[at], starts[at, place], starts[at, place + 2], dropout)] = _NONE
                 piece[at, place], order[at, place] = new, value
@@ -207,7 +216,7 @@ def _ragged(values, starts, counts):
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)]
 
 
-def _encode_slice(v: Vocabulary, texts: list[str], doc_keys: np.ndarray, dropout: float, streams: int):
+def _encode_slice(v: Vocabulary, texts: list[str], doc_keys: np.ndarray, dropout: float, seed_key, streams: int | None):
     """Ids of all texts in order, and each text's number of ids."""
     codes = np.frombuffer("".join(f" {t}" if t else "" for t in texts).encode("utf-32-le"), np.uint32).astype(np.int64)
     sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
@@ -225,45 +234,83 @@ def _encode_slice(v: Vocabulary, texts: list[str], doc_keys: np.ndarray, dropout
     first_unit = np.searchsorted(unit_at, text_at)
     per_text = np.diff(first_unit)
     place = np.arange(len(unit_at)) - np.repeat(first_unit[:-1], per_text)
-    stream = mix(np.repeat(doc_keys, per_text) + mix(place.astype(np.uint64))) % np.uint64(streams)
-    if dropout <= 0:
-        stream[:] = 0
+    stream = mix(np.repeat(doc_keys, per_text) + mix(place.astype(np.uint64)))
+    if streams is not None:
+        stream %= np.uint64(streams)
 
-    # distinct (unit, stream); equal hashes are confirmed letter by letter
     within = np.arange(len(codes)) - np.repeat(unit_at, lengths)
     powers = np.cumprod(np.full(int(lengths.max()), 0x9E3779B97F4A7C15 | 1, np.uint64))
     value = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * powers[within], unit_at)
-    value = mix(mix(value + mix(lengths.astype(np.uint64))) + stream)
-    _, one, which = np.unique(value, return_index=True, return_inverse=True)
-    same = codes == codes[np.minimum(within + np.repeat(unit_at[one[which]], lengths), len(codes) - 1)]
-    same = np.logical_and.reduceat(same, unit_at) & (lengths == lengths[one[which]]) & (stream == stream[one[which]])
-    odd = np.flatnonzero(~same)
-    which[odd] = len(one) + np.arange(len(odd))
-    one = np.append(one, odd)
-
-    seed_of = mix(stream[one] + np.uint64(0x51))
-    length = lengths[one]
+    value = mix(value + mix(lengths.astype(np.uint64)))
+    keys = mix(value + mix(stream + seed_key))
+
+    def distinct(units, hashes):
+        """First of each kind among ``units``, and the kind of each; equal hashes are confirmed letter by letter."""
+        _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+        size, like = lengths[units], units[one[which]]
+        same = size == lengths[like]
+        some = np.flatnonzero(same)
+        if len(some):
+            equal = codes[_ragged(np.arange(len(codes)), unit_at[units[some]], size[some])] == codes[
+                _ragged(np.arange(len(codes)), unit_at[like[some]], size[some])]
+            same[some] = np.logical_and.reduceat(equal, np.cumsum(size[some]) - size[some])
+        odd = np.flatnonzero(~same)
+        which[odd] = len(one) + np.arange(len(odd))
+        return units[np.append(one, odd)], which
+
     out_ids, out_unit = [], []
-    for size in np.unique(length):
-        mine = np.flatnonzero(length == size)
-        if size > LONG:
-            for u in mine.tolist():
-                got = _agenda_long(v, v.first[codes[unit_at[one[u]]: unit_at[one[u]] + size]], seed_of[u], dropout)
-                out_ids.append(got)
-                out_unit.append(np.full(len(got), u))
-            continue
-        step = max(1, 400_000 // int(size))
-        for cut in range(0, len(mine), step):
-            some = mine[cut: cut + step]
-            ids = v.first[codes[unit_at[one[some]][:, None] + np.arange(size)]]
-            for rows, pieces in _agenda_short(v, ids, seed_of[some], dropout):
-                out_ids.append(pieces.ravel())
-                out_unit.append(np.repeat(some[rows], pieces.shape[1]))
+
+    def encode_units(units, first, share, met=None):
+        """Pieces of units, numbered from ``first``."""
+        length = lengths[units]
+        for size in np.unique(length):
+            mine = np.flatnonzero(length == size)
+            if size > LONG:
+                for u in mine.tolist():
+                    at = unit_at[units[u]]
+                    got = _agenda_long(v, v.first[codes[at: at + size]], keys[units[u]], share)
+                    out_ids.append(got)
+                    out_unit.append(np.full(len(got), first + u))
+                continue
+            step = max(1, 400_000 // int(size))
+            for cut in range(0, len(mine), step):
+                some = mine[cut: cut + step]
+                ids = v.first[codes[unit_at[units[some]][:, None] + np.arange(size)]]
+                seen = None if met is None else []
+                for rows, pieces in _agenda_short(v, ids, keys[units[some]], share, seen):
+                    out_ids.append(pieces.ravel())
+                    out_unit.append(np.repeat(first + some[rows], pieces.shape[1]))
+                if met is not None:
+                    met += [(some[r], a, b) for r, a, b in seen]
+
+    plain = np.flatnonzero(lengths <= LONG) if dropout > 0 else np.arange(len(unit_at))
+    which = np.zeros(len(unit_at), np.int64)
+    one, which[plain] = distinct(plain, value[plain])
+    met = [] if dropout > 0 else None
+    encode_units(one, 0, 0.0, met)
+    n_units = len(one)
+    if dropout > 0:
+        again = lengths > LONG
+        if met:
+            # the same candidates come up under dropout until one of them is dropped
+            kind, start, end = (np.concatenate(x) for x in zip(*met))
+            order = np.argsort(kind, kind="stable")
+            start, end = start[order], end[order]
+            count = np.bincount(kind, minlength=n_units)
+            of = which[plain]
+            at = _ragged(np.arange(len(start)), (np.cumsum(count) - count)[of], count[of])
+            owner = np.repeat(plain, count[of])
+            again[owner[_skipped(keys[owner], start[at], end[at], dropout)]] = True
+        more = np.flatnonzero(again)
+        one, kinds = distinct(more, keys[more])
+        which[more] = n_units + kinds
+        encode_units(one, n_units, dropout)
+        n_units += len(one)
     ids, unit = np.concatenate(out_ids), np.concatenate(out_unit)
     order = np.argsort(unit, kind="stable")
     ids, unit = ids[order], unit[order]
     ids, unit = _bytes_for_unknown(v, ids, unit)
-    counts = np.bincount(unit, minlength=len(one))
+    counts = np.bincount(unit, minlength=n_units)
     starts = np.cumsum(counts) - counts
     all_ids = _ragged(ids, starts[which], counts[which])
     unit_ends = np.append(0, np.cumsum(counts[which]))
@@ -289,16 +336,17 @@ def _bytes_for_unknown(v, ids, unit):
     return out, np.repeat(unit, count)
 
 
-def encode_texts(v: Vocabulary, texts: list[str], doc_ids: np.ndarray, dropout: float, seed: int, streams: int):
+def encode_texts(v: Vocabulary, texts: list[str], doc_ids: np.ndarray, dropout: float, seed: int, streams: int | None):
     """(ids, counts) of texts, about SLICE code points at a time."""
-    doc_keys = mix(doc_ids.astype(np.int64).view(np.uint64) + mix(np.array([seed], np.int64).view(np.uint64)))
+    seed_key = mix(np.array([seed], np.int64).view(np.uint64))
+    doc_keys = mix(doc_ids.astype(np.int64).view(np.uint64) + seed_key)
     at, parts = 0, []
     while at < len(texts):
         end, total = at, 0
         while end < len(texts) and (end == at or total + len(texts[end]) <= SLICE):
             total += len(texts[end])
             end += 1
-        parts.append(_encode_slice(v, texts[at:end], doc_keys[at:end], dropout, streams))
+        parts.append(_encode_slice(v, texts[at:end], doc_keys[at:end], dropout, seed_key, streams))
         at = end
     if not parts:
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
@@ -323,7 +371,7 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> list[str]:
 
 def encode(
     docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", into: str = "pieces",
-    dropout: float = DROPOUT, seed: int = SEED, streams: int = STREAMS,
+    dropout: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS,
 ) -> DataFrame:
     """``docs`` with a column ``into`` of piece ids.
 

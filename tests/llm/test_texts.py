@@ -58,6 +58,27 @@ def test_dropout_varies_by_place_and_seed_and_repeats():
     assert 3 < len(words) <= 17
 
 
+def test_dropout_is_drawn_per_occurrence_and_unit():
+    v = sentencepiece_codec.read_vocabulary(MODEL)
+    found = set()
+    for seed in range(3):
+        ids, _ = sentencepiece_codec.encode_texts(v, ["segmentation " * 3000], np.array([5]), 0.3, seed, None)
+        found.update(tuple(w) for w in _by_word(v, ids))
+    assert len(found) > 40
+    # one document drops a merge that another keeps
+    dropped = []
+    for word in ("ab", "th", "in", "so"):
+        whole = sentencepiece_codec.encode_texts(v, [word], np.array([5]), 0, 1, None)[0]
+        counts = [len(sentencepiece_codec.encode_texts(v, [word], np.array([d]), 0.1, 1, None)[0]) for d in range(1500)]
+        dropped.append(np.mean(np.array(counts) > len(whole)))
+    assert len(set(dropped)) > 1 and 0.08 < np.mean(dropped) < 0.35
+    # caching changes nothing: a document alone gets the pieces it gets among others
+    texts = [f"the same words {i % 7} the same words again and segmentation" for i in range(60)]
+    ids, counts = sentencepiece_codec.encode_texts(v, texts, np.arange(60), 0.1, 3, None)
+    alone = [sentencepiece_codec.encode_texts(v, [t], np.array([i]), 0.1, 3, None)[0].tolist() for i, t in enumerate(texts)]
+    assert ids.tolist() == [x for one in alone for x in one] and counts.tolist() == [len(x) for x in alone]
+
+
 def _by_word(v, ids):
     words = []
     for i in ids.tolist():
