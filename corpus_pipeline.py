@@ -13,8 +13,8 @@ from siltstone.llm.quality import keep_good
 from siltstone.llm.queries import MODEL, table
 from siltstone.llm.secret_scan import redact
 from siltstone.llm.sentencepiece_codec import encode
-from siltstone.llm.set_join import jaccard_components
-from siltstone.session import scratch_path
+from siltstone.llm.set_join import jaccard_rows
+from siltstone.session import materialise, scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,19 +25,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one whose doc_id names the group.
+    """One document of each group of near copies stays: the one with the smallest id, nulls last, then text hash.
 
-    Of rows that share both id and group one stays, by the smallest hash of the text. Rows with a null id outside
-    any group stay.
+    Rows are known by id and text, so rows that share an id, or have none, are told apart. Of equal rows outside any
+    group (texts without words) one stays.
     """
-    groups = jaccard_components(docs)
-    gone, n_gone = kept(
-        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    twice, n_twice = kept(groups.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select(
-        F.col("doc_id").alias("twice")), "twice")
+    rows = materialise(jaccard_rows(docs).select("doc_id", "text_hash", "component"), "rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    stays, n_stays = kept(rows.where("component is not null").groupBy(F.col("component").alias("of")).agg(
+        F.min(order).alias("stays")), "stays")
+    others = join_known(rows.where("component is not null"), stays, n_stays, F.col("component") == F.col("of"))
+    gone, n_gone = kept(others.where(
+        "not (doc_id <=> stays.doc_id and text_hash = stays.text_hash)").select(
+        F.col("doc_id").alias("gone"), F.col("text_hash").alias("gone_hash")).distinct(), "gone")
+    twice, n_twice = kept(rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).where("rows > 1").select(
+        F.col("doc_id").alias("twice"), F.col("text_hash").alias("twice_hash")), "twice")
     docs = docs.select(*COLUMNS)
-    stay = join_known(docs, gone, n_gone, docs["doc_id"] == F.col("gone"), "left_anti")
-    again = F.col("doc_id").eqNullSafe(F.col("twice"))
+    text_hash = F.xxhash64(docs["text"])
+    stay = join_known(
+        docs, gone, n_gone, docs["doc_id"].eqNullSafe(F.col("gone")) & (text_hash == F.col("gone_hash")), "left_anti")
+    again = F.col("doc_id").eqNullSafe(F.col("twice")) & (F.xxhash64("text") == F.col("twice_hash"))
     once = join_known(stay, twice, n_twice, again, "left_anti")
     repeated = join_known(stay, twice, n_twice, again, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(repeated)

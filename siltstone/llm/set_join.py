@@ -272,6 +272,12 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     that share a doc_id each is compared by its own text. Rows with a null doc_id link like others, and
     component_id is null only where every row of the component has none. Other columns of ``docs`` are not read.
     """
+    return jaccard_rows(docs, id_column, text_column).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``jaccard_components`` with text_hash (xxhash64 of the text) and component: the node that names the row's
+    component whatever the ids, null for a row that links with none."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
@@ -334,6 +340,6 @@ def jaccard_components(docs: DataFrame, id_column: str = "doc_id", text_column:
     named = materialise(named, "classes")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.sum("copies").alias("rows"))
     small, n_small = kept(
-        named.join(least.where("rows > 1"), "component").select("node", "component_id"), "linked")
+        named.join(least.where("rows > 1"), "component").select("node", "component", "component_id"), "linked")
     return join_known(meta, small, n_small, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "text_hash", "component")

@@ -390,6 +390,25 @@ def test_pipeline_stages_of_odd_rows(spark):
                 assert out.count() == len(set(given) if name == "n-gram Jaccard join" else given)
 
 
+def test_near_copies_under_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    base = [" ".join(rng.choice("abcdefgh") * 2 + str(rng.randrange(90)) for _ in range(60)) for _ in range(6)]
+    near = lambda k, n: base[k] + f" end{n}"
+    rows = [(1, base[0]), (7, near(0, 1)), (7, base[1]), (None, near(0, 2)), (None, base[2]), (None, near(2, 1)), (None, base[2]),
+            (9, base[3]), (9, near(3, 1)), (9, base[3]), (None, base[4]), (20, near(4, 1)), (30, base[5]), (None, None), (None, "")]
+    given = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, given, SF).collect()]
+    # every text of the rows is its base or a near copy of it: brute force by the base's first word run
+    group = lambda t: next((k for k, b in enumerate(base) if t and t.startswith(b)), t)
+    least = {}
+    for d, t in rows:
+        least[group(t)] = min(least.get(group(t), (True, 0)), (d is None, d or 0))
+    assert len(got) == len(least) and {group(t): (d is None, d or 0) for d, t in got} == least
+    assert set(got) <= set(rows)
+
+
 def test_queries_are_registered():
     contract = importlib.import_module("__spark_entry__")
     names = contract.queries()
