@@ -36,6 +36,10 @@ NOTICES = (
 #: One edit for so many letters of a notice, and at most so many.
 LETTERS_PER_EDIT, MOST_EDITS = 8, 4
 
+#: Words that tell notices apart, and words of other licenses that may stand in their place.
+TELLING = frozenset("apache mit nc sa lesser mozilla".split())
+RIVALS = tuple("apache mit nc sa nd lesser affero mozilla bsd isc gpl lgpl mpl gnu eclipse zlib boost".split())
+
 #: Bytes of words, lower-cased; all others are spaces.
 _WORDS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -57,6 +61,21 @@ def notices(pairs: Iterable[tuple[str, str]] = NOTICES) -> list[Notice]:
     return [Notice(t, label, max(1, min(MOST_EDITS, len(t) // LETTERS_PER_EDIT))) for t, label in pairs]
 
 
+def _edits(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def _others(text: str) -> list[str]:
+    """The notice with each telling word replaced by that of another license."""
+    words = text.split()
+    return [" ".join([*words[:i], r, *words[i + 1:]]) for i, w in enumerate(words) if w in TELLING for r in RIVALS if r != w]
+
+
 def _places(text: bytes, part: bytes):
     at = text.find(part)
     while at >= 0:
@@ -71,8 +90,10 @@ class _Searcher:
         import regex
 
         self.notices = [
-            (n, n.parts(), regex.compile(f"(?b)(?<![^ ])(?:{regex.escape(n.text, literal_spaces=True)}){{e<={n.edits}}}(?![^ ])"))
+            (n, n.parts(), _others(n.text), regex.compile(f"(?<![^ ])(?:{regex.escape(n.text, literal_spaces=True)}){{e<={n.edits}}}(?![^ ])"))
             for n in found]
+        # the same with the fewest edits instead of the first place
+        self.best = [regex.compile("(?b)" + pattern.pattern) for *_, pattern in self.notices]
 
     def base(self, text: bytes):
         """(start in words, label) of every place of a base phrase in a text that begins and ends with a space."""
@@ -83,9 +104,10 @@ class _Searcher:
     def fuzzy(self, text: bytes):
         """(label, start, end, edits, letters) of every notice; places count bytes of the joined words.
 
-        Windows around the seeds overlap; joined, each is scanned once, from left to right.
+        Windows around the seeds overlap; joined, each is scanned once, from left to right: of what overlaps the first
+        match, the best counts. A span that is nearer to the notice of another license is not one of this.
         """
-        for notice, parts, pattern in self.notices:
+        for (notice, parts, others, pattern), best in zip(self.notices, self.best):
             windows = []
             for shift, part in parts:
                 for at in _places(text, part):
@@ -101,7 +123,15 @@ class _Searcher:
             for begin, end in joined:
                 begin, end = max(0, text.rfind(b" ", 0, begin + 1)), (text.find(b" ", end - 1) + 1) or len(text)
                 window = text[begin:end].decode("utf-8", "replace")
-                for m in pattern.finditer(window):
+                at = 0
+                while m := pattern.search(window, at):
+                    # a match that starts too early covers the start of a better one
+                    stop = window.find(" ", m.start() + len(notice.text) + 2 * notice.edits)
+                    m = best.search(window, m.start(), len(window) if stop < 0 else stop) or m
+                    at = max(m.end(), at + 1)
+                    edits = sum(m.fuzzy_counts)
+                    if edits and any(_edits(m.group().strip(), x) < edits for x in others):
+                        continue
                     start = begin + len(window[: m.start()].encode())
                     yield (notice.label, start, start + len(m.group().encode()), sum(m.fuzzy_counts), len(notice.text))
 

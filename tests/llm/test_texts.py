@@ -165,6 +165,15 @@ def test_seeds_miss_no_notice_within_its_edits(spark):
     assert license_scan.license_scan(far).collect()[0]["labels"] == ""
 
 
+def test_notices_of_other_licenses_and_repeated_ones():
+    searcher = license_scan._Searcher(license_scan.notices())
+    labels = lambda t: [x[0] for x in sorted(searcher.fuzzy(f" {t} ".encode()), key=lambda x: x[1])]
+    assert labels("licensed under cc by sa") == ["cc-by-sa"] and labels("licensed under cc by nc") == ["cc-by-nc"]
+    assert labels("released under the bsd license") == [] and labels("licensed under cc by nd") == []
+    assert labels("released under the mit licence released under the mit license") == ["mit", "mit"]
+    assert labels("a released under the mit license " * 300) == ["mit"] * 300
+
+
 # pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head>
