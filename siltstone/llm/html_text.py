@@ -19,7 +19,9 @@ from siltstone.llm.common import ship
 
 # Fixed values of HTML: element names by the part they play.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math select option xmp noembed".split())
+RAW = frozenset("script style textarea title noscript template iframe svg math select xmp noembed".split())
+#: Of these, the elements whose text runs to the end of the page when they are not closed.
+OPEN_ENDED = frozenset("script style".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split())
@@ -78,7 +80,7 @@ class Block:
 def blocks(page: str) -> tuple[list[Block], bool]:
     """Text blocks in page order, and whether the page has a main element."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, main, furniture
+    stack: list[tuple[str, bool, int]] = []  # name, main, furniture (below 0: takes back that of forms around it)
     mains = furniture = links = 0
     seen_main = False
     pieces: list[tuple[str, bool]] = []
@@ -119,7 +121,12 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if name in RAW and not ends:
             if not m["rest"].endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-                at = stop.end() if stop else len(page)
+                at = stop.end() if stop else len(page) if name in OPEN_ENDED else at
+            continue
+        if name == "option":
+            # end tags are optional: the label ends at the next tag
+            stop = -1 if ends else page.find("<", at)
+            at = at if ends else stop if stop >= 0 else len(page)
             continue
         if name in INLINE:
             if name == "br":
@@ -138,8 +145,11 @@ def blocks(page: str) -> tuple[list[Block], bool]:
         if name in VOID or m["rest"].endswith("/"):
             continue
         is_main, is_furniture = _part(name, m["rest"], mains > 0)
+        if is_main and furniture and all(n == "form" for n, _, f in stack if f > 0):
+            # a form around the page's main element wraps the page
+            is_furniture = -furniture
         stack.append((name, is_main, is_furniture))
-        mains, furniture, seen_main = mains + is_main, furniture + is_furniture, seen_main or (is_main and not furniture)
+        mains, furniture, seen_main = mains + is_main, furniture + is_furniture, seen_main or (is_main and not furniture + is_furniture)
     flush()
     return out, seen_main
 

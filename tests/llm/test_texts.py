@@ -219,6 +219,15 @@ def test_given_pages_give_their_articles(spark):
         assert r["text"] == "\n".join(p for p in parts if p)
 
 
+@pytest.mark.parametrize("before, after", [
+    ("<header><datalist><option value=a>x<option value=b></datalist></header>", ""), ("<form id=aspnetForm>", "</form>"),
+    ("<svg><path>", ""), ("<iframe src=x>", ""), ("<noscript>", "")])
+def test_open_elements_and_wrapping_forms_keep_the_article(before, after):
+    words = "many plain words of a long article that has to stay " * 4
+    text = html_text.main_text(f"<body>{before}<article><p>{words}</p></article>{after}</body>", html_text.trained())
+    assert words.strip() in text
+
+
 def test_the_tree_learns_its_table():
     table = np.array(html_text.LABELLED)
     assert (html_text.trained().predict(table[:, :-1]) == (table[:, -1] > 0)).all()
