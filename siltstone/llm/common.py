@@ -13,8 +13,8 @@ from siltstone.shipping import ship_packages
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-#: Largest number of rows, of a few numbers each, that is sent to every executor.
-BROADCAST_ROWS = 500_000
+#: Largest number of rows, of a few numbers each, that is sent to every executor, and of bytes where rows are wider.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64_000_000
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -33,9 +33,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def join_known(big: DataFrame, small: DataFrame, rows: int, on, how: str = "inner") -> DataFrame:
-    """Join with a table whose row count was taken: broadcast up to a bound, else shuffle (AQE splits hot keys)."""
-    return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small.hint("merge"), on, how)
+def join_known(big: DataFrame, small: DataFrame, rows: int, on, how: str = "inner", size: int = 0) -> DataFrame:
+    """Join with a table whose row count (and bytes) was taken: broadcast up to a bound, else shuffle (AQE splits hot keys)."""
+    return big.join(F.broadcast(small) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else small.hint("merge"), on, how)
 
 
 def kept(df: DataFrame, label: str) -> tuple[DataFrame, int]:

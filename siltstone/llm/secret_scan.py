@@ -159,21 +159,24 @@ def secret_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def redact(docs: DataFrame, text_column: str = "text", placeholder: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span replaced; texts without one, and null texts, stay as they are.
 
-    Overlapping spans become one placeholder. Only texts with spans are cut and joined back.
+    Overlapping spans become one placeholder. Places of spans are joined to the documents, which are cut where they are.
     """
     text = _text(text_column)
     suspects = materialise(
         docs.where(_suspicious(text)).select(_key(text).alias("key"), text.alias("text")).dropDuplicates(["key"]), "suspects")
     before = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     spans = secret_spans(suspects).withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0)))
-    pieces = spans.groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "from"))).alias("cuts"), F.max("end").alias("last"))
-    clean, n_clean = kept(suspects.join(pieces, "key").select(F.col("key").alias("__redact_key"), F.concat(
-        F.array_join(F.transform("cuts", lambda x: F.when(
+    pieces, n_pieces = kept(spans.groupBy(F.col("key").alias("__redact_key")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "from"))).alias("__cuts"), F.max("end").alias("__last")), "cuts")
+    # places only are joined, never texts
+    size = pieces.agg(F.sum(F.size("__cuts") * 24 + 120)).first()[0] or 0
+    joined = join_known(docs, pieces, n_pieces, _key(F.col(text_column)) == F.col("__redact_key"), "left", size)
+    old = F.col(f"`{text_column}`")
+    cut = F.concat(
+        F.array_join(F.transform("__cuts", lambda x: F.when(
             x["start"] >= x["from"],
-            F.concat(F.substring("text", x["from"] + 1, x["start"] - x["from"]), F.lit(placeholder))).otherwise("")), ""),
-        F.substring(F.col("text"), F.col("last") + 1, F.length("text"))).alias("__redacted")), "redacted")
-    joined = join_known(docs, clean, n_clean, _key(F.col(text_column)) == F.col("__redact_key"), "left")
+            F.concat(F.substring(old, x["from"] + 1, x["start"] - x["from"]), F.lit(placeholder))).otherwise("")), ""),
+        F.substring(old, F.col("__last") + 1, F.length(old)))
     new = {c: F.col(f"`{c}`") for c in docs.columns}
-    new[text_column] = F.coalesce(F.col("__redacted"), F.col(f"`{text_column}`"))
+    new[text_column] = F.when(F.col("__last").isNotNull(), cut).otherwise(old)
     return joined.select(*(column.alias(name) for name, column in new.items()))

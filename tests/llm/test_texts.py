@@ -284,6 +284,17 @@ def test_redaction_takes_spans_only(spark):
     assert all(not plain_spans(t) for t in by_id.values())
 
 
+def test_redaction_by_a_shuffle_equals_the_broadcast(spark, monkeypatch):
+    from siltstone.llm import common
+
+    rows = list(enumerate(SECRETS))
+    want = sorted(map(str, secret_scan.redact(frame(spark, rows)).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    got = secret_scan.redact(frame(spark, rows))
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString().split("__redact_key")[0]
+    assert sorted(map(str, got.collect())) == want
+
+
 # quality
 
 def test_quality_on_held_out_labels(spark):
