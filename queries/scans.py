@@ -85,7 +85,7 @@ def json_scan(spark, sf_dir):
         "event_id": "BIGINT", "ts": "TIMESTAMP_NTZ", "user_id": "BIGINT",
         "event_type": "STRING", "value": "DOUBLE", "props": "STRING",
     }
-    return plan(spark, TableSpec("events", path, format="json", schema=schema))
+    return plan(spark, TableSpec("events", path, format="json", schema=schema), guard="inline")
 
 
 @query("SELECT * FROM part")
@@ -197,7 +197,7 @@ def merged_schema(spark, sf_dir):
         customers.write.option("header", True).csv(path)
         suppliers.write.mode("append").option("header", True).csv(path)
 
-    path = landing.landed(spark, sf_dir, "mixed-headers", write)
+    path = landing.landed(spark, sf_dir, "merged-schema", write)
     df = plan(spark, TableSpec("parties", path))
     return df.withColumns({"id": F.col("id").cast("bigint"), "nation": F.col("nation").cast("int")})
 

@@ -257,7 +257,7 @@ def _build(
     spark: SparkSession, data: DatasetSpec, table: TableSpec, inputs: list[str], touched: DataFrame | None
 ) -> ValidationResult:
     paths, options = Paths.of(data, table), write_options(data, table)
-    frame = plan(spark, table, inputs, data.partition_keys(table))
+    frame = plan(spark, table, inputs, data.partition_keys(table), guard="inline")
     if table.write_mode == "append":
         return _append(spark, data, table, frame)
     if touched is None:

@@ -22,8 +22,8 @@ from siltstone.spec import MEMBER_GLOBS, TableSpec
 from siltstone.storage import file_name
 
 
-def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None) -> DataFrame:
-    """The columns of a table's files, and those that their names give."""
+def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None, guard: str = "before") -> DataFrame:
+    """The columns of a table's files, and those that their names give; ``guard`` as in scan_json."""
 
     def each(df: DataFrame) -> DataFrame:
         return with_file_groups(df, table.naming_pattern)
@@ -34,19 +34,22 @@ def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = No
         tabs = table.format != "csv"
         return scan_delimited(spark, paths, table.schema, options, table.preserved, tabs, hive, each)
     if table.format == "json":
-        return each(scan_json(spark, paths, options, hive, table.schema, table.preserved))
+        return each(scan_json(spark, paths, options, hive, table.schema, table.preserved, guard))
     if table.format == "parquet":
         return scan_parquet(spark, paths, options, hive, each)
     return each(scan_fixed_width(spark, paths, table.fixed_width, hive=hive))
 
 
 def plan(
-    spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None, keys: Iterable[str] = ()
+    spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None, keys: Iterable[str] = (),
+    guard: str = "before",
 ) -> DataFrame:
-    """scan, columns from file names, literals, guard and alignment: no job runs for a declared schema
-    beyond reading file heads."""
+    """scan, columns from file names, literals, guard and alignment.
+
+    No job runs for a declared schema beyond reading file heads, except for JSON under ``guard="before"``.
+    """
     paths = list(paths if paths is not None else table.paths)
-    df = with_literals(scan(spark, table, paths), table.metadata)
+    df = with_literals(scan(spark, table, paths, guard), table.metadata)
     schema = table.schema
     if not schema:
         return df

@@ -447,3 +447,49 @@ def test_synthetic_sales(spark):
     assert small.count() == 100 and small.columns == ["id", "date", "amount", "address", "year", "month"]
     assert small.filter("amount < 10 or amount > 1000").isEmpty()
     assert generate_sales(spark, "large", partitioned=False).agg(F.max("date")).first()[0].isoformat() == "2024-11-25T10:39:00"
+
+
+# --- declared JSON in one scan ---------------------------------------------------
+
+def scans_of(df):
+    return str(df._jdf.queryExecution().executedPlan().toString()).count("FileScan")
+
+
+def test_inline_json_reads_once_and_keeps_values_and_nested_fields(spark, put):
+    path = put("a.json", '{"id": "030", "price": 12.50, "exact": 0.12345678901234567890, "deep": {"x": 1}, "tags": ["a"], '
+               '"free": {"y": 2}}\n{"id": 4}\n\n[]\n')
+    schema = {"id": "INT", "price": "STRING", "exact": "DECIMAL(38,20)", "deep": "STRUCT<x: INT>", "tags": "ARRAY<STRING>", "free": "STRING", "gone": "DATE"}
+    df = plan(spark, table(path, format="json", schema=schema), guard="inline")
+    assert df.columns == list(schema) and dict(df.dtypes)["gone"] == "date" and scans_of(df) == 1
+    first, second = rows(df, "id")
+    assert (first["id"], first["price"], first["deep"]["x"], first["tags"], first["free"]) == (30, "12.5", 1, ["a"], '{"y":2}')
+    assert str(first["exact"]) == "0.12345678901234567890"
+    assert second["id"] == 4 and second["deep"] is None and second["price"] is None
+
+
+@pytest.mark.parametrize("text, found", [
+    ('{"id": 1, "ssn": 2}\n', "undeclared fields ssn"), ('[{"id": 1}, {"id": 2, "ssn": 3}]\n', "undeclared fields ssn"),
+    ('{"id": 1}\nnot json\n', "not a JSON object"), ("5\n", "not a JSON object"), ('[{"id": 1}, 7]\n', "not a JSON object")])
+def test_inline_json_stops_at_what_is_not_declared(spark, put, text, found):
+    df = plan(spark, table(put("a.json", text), format="json", schema={"id": "INT"}), guard="inline")
+    for look in (df.collect, df.count):  # also where no column is asked for
+        with pytest.raises(Exception, match=found):
+            look()
+
+
+def test_inline_json_of_arrays_documents_folders_and_names(spark, put, tmp_path):
+    put("many/lot=A7/KX-11.json", json.dumps([{"id": 1, "odd 'n\"me": "x"}, {"id": 2}], indent=2))
+    put("many/lot=B2/KX-12.json", json.dumps({"id": 3}, indent=1))
+    spec = table(
+        str(tmp_path / "many"), format="json", schema={"id": "INT", "odd 'n\"me": "STRING"}, read_options={"multiLine": True},
+        hive_partitioning=True, naming_pattern=r"KX-(?P<number>\d+)\.json", partition_by=["lot"])
+    got = [tuple(r.values()) for r in rows(plan(spark, spec, guard="inline"), "id")]
+    assert got == [(1, "x", "11", "A7"), (2, None, "11", "A7"), (3, None, "12", "B2")]
+    dropped = put("bad.json", '{"id": 1}\n{"id"\n')
+    df = plan(spark, table(dropped, format="json", schema={"id": "INT"}, read_options={"mode": "DROPMALFORMED"}), guard="inline")
+    assert df.count() == 1
+
+
+def test_empty_json_under_an_inline_guard(spark, put):
+    df = plan(spark, table(put("a.json", ""), format="json", schema={"id": "INT"}), guard="inline")
+    assert df.columns == ["id"] and df.collect() == []
