@@ -20,6 +20,8 @@ from siltstone.session import materialise
 BUDGET_SHARE, MOST_PASSES, SEED = 1.0, 2.0, 29
 #: Blocks of a source's permutation, exponents tried per round, and rounds.
 BLOCKS, FAN, ROUNDS = 4096, 64, 4
+#: Equal rows that a task tells out at a time.
+CHUNK = 100_000
 
 
 @dataclass(frozen=True)
@@ -120,25 +122,72 @@ def mix_sources(
         ((F.col("rest") > 0) & (F.col("before") + F.col("tokens") <= F.col("rest"))).alias("inside"), (F.col("before") < F.col("rest")).alias("begun"))
     joined = join_known(rows, cuts, n_blocks, rows["source"].eqNullSafe(F.col("of_source")) & (F.col("block") == F.col("of_block")))
     plain = joined.where("inside or not begun").withColumn("copies", F.col("whole") + F.col("inside").cast("int"))
-    # at most one block of a source is cut; its rows are counted through
-    order = Window.partitionBy("source", "block").orderBy("draw", "doc_id")
-    start = F.col("before") + F.sum("n_tokens").over(order) - F.col("n_tokens")
-    split = joined.where("begun and not inside").withColumn(
-        "copies", F.col("whole") + (start + F.col("n_tokens") / 2 <= F.col("rest")).cast("int"))
+    # at most one block of a source is cut; its different rows are counted through, equal ones by their number
+    same = ["source", "block", "draw", "doc_id", "n_tokens", "key", "weight", "whole", "rest", "before"]
+    split = joined.where("begun and not inside").groupBy(*same).agg(F.count("*").alias("rows"))
+    order = Window.partitionBy("source", "block").orderBy("draw", "doc_id", "key", "n_tokens").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    size = F.col("n_tokens").cast("double")
+    start = F.col("before") + F.sum(F.col("rows") * F.col("n_tokens")).over(order) - F.col("rows") * F.col("n_tokens")
+    fit = F.when(size > 0, F.floor((F.col("rest") - start - size / 2) / size) + 1).otherwise(
+        F.when(start <= F.col("rest"), F.col("rows")).otherwise(0))
+    split = split.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("rows"), fit)))
+    split = told_out(split, "rows").withColumn("copies", (F.col("whole") + (F.col("nth") <= F.col("taken")).cast("int")).cast("int"))
     columns = ["doc_id", "source", "n_tokens", "weight", "copies", "key"]
     return plain.select(*columns).unionByName(split.select(*columns))
 
 
-def mix_copies(docs: DataFrame, target: Target = Target(), budget_share: float = BUDGET_SHARE, seed: int = SEED) -> DataFrame:
+def told_out(groups: DataFrame, count: str) -> DataFrame:
+    """Each row as often as its column ``count`` says, numbered from 1 by ``nth``; a row that counts for many is dealt to many tasks."""
+    chunks = groups.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / CHUNK))).alias("chunk"))
+    dealt = chunks.where(F.col(count) > 0).hint("rebalance")
+    first = F.col("chunk") * CHUNK + 1
+    return dealt.select("*", F.explode(F.sequence(first, F.least(F.col(count), first + CHUNK - 1))).alias("nth"))
+
+
+def mix_copies(
+    docs: DataFrame, target: Target = Target(), budget_share: float = BUDGET_SHARE, seed: int = SEED,
+    id_column: str = "doc_id", source_column: str = "source", text_column: str = "text",
+) -> DataFrame:
     """Rows of ``docs`` (doc_id, source, text and any others), each as often as the mix takes it, unchanged.
 
-    Only ids and counts are joined: rows taken once and no further need no entry.
+    Only ids and counts are joined: rows taken once and no further need no entry. Of a source, at most one group of rows that share
+    id and text is taken in part; its equal rows are counted first and then told out, so their columns have to be of types
+    that can be grouped. Names of other columns do not matter.
     """
-    mixed = mix_sources(docs, target, budget_share, seed)
-    odd, n_odd = kept(mixed.where("copies <> 1").groupBy(
-        F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.max("copies").alias("__copies")), "copies")
-    joined = join_known(
-        docs, odd, n_odd, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left")
-    times = F.coalesce("__copies", F.lit(1))
-    return joined.where(times > 0).withColumn("__time", F.explode(F.sequence(F.lit(1), times))).select(
-        *(f"`{c}`" for c in docs.columns))
+    mixed = mix_sources(docs, target, budget_share, seed, id_column, source_column, text_column)
+    groups = mixed.groupBy("doc_id", "source", "key").agg(
+        F.sum("copies").cast("bigint").alias("copies"), F.count("*").alias("rows")).where("copies <> rows")
+    of_id, of_source, of_key, of_copies, of_rows, at = free_names(docs, 6)
+    odd, n_odd = kept(groups.select(
+        F.col("doc_id").alias(of_id), F.col("source").alias(of_source), F.col("key").alias(of_key),
+        F.col("copies").alias(of_copies), F.col("rows").alias(of_rows)), "copies")
+    same = (docs[id_column].eqNullSafe(F.col(of_id)) & docs[source_column].eqNullSafe(F.col(of_source))
+            & (F.xxhash64(docs[text_column]) == F.col(of_key)))
+    joined = join_known(docs, odd, n_odd, same, "left")
+    columns = [f"`{c}`" for c in docs.columns]
+    in_part = F.coalesce(F.col(of_copies) % F.col(of_rows) != 0, F.lit(False))
+    times = F.coalesce(F.col(of_copies) / F.col(of_rows), F.lit(1)).cast("int")
+    whole = joined.where(~in_part & (times > 0)).withColumn(at, F.explode(F.sequence(F.lit(1), times))).select(*columns)
+    # rows that are alike in all columns, counted; then the first copies of them as far as they go
+    alike = joined.where(in_part).groupBy(*columns, of_id, of_source, of_key, of_copies, of_rows).agg(F.count("*").alias(at))
+    before = F.coalesce(F.sum(at).over(
+        Window.partitionBy(of_id, of_source, of_key).orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base, left = F.floor(F.col(of_copies) / F.col(of_rows)), F.col(of_copies) % F.col(of_rows)
+    number = base * F.col(at) + F.greatest(F.lit(0), F.least(F.col(at), left - before))
+    count, = free_names(docs, 1, "told")
+    told = alike.withColumn(count, number).where(F.col(count) > 0)
+    renamed = told.select(F.struct(*columns).alias("row"), F.col(count).alias("count"))
+    return whole.unionByName(told_out(renamed, "count").select("row.*"))
+
+
+def free_names(df: DataFrame, number: int, stem: str = "of") -> list[str]:
+    """Column names that ``df`` does not have, whatever the case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    at = 0
+    while len(out) < number:
+        if f"__{stem}_{at}" not in taken:
+            out.append(f"__{stem}_{at}")
+        at += 1
+    return out

@@ -376,6 +376,37 @@ def test_mix_meets_weights_and_passes(spark):
     assert mixed.columns == docs.columns and mixed.count() == sum(r["copies"] for r in got)
 
 
+def test_mix_takes_its_part_of_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 64)
+    text = "one two three four five six seven eight nine ten"
+    rows = [(7, text, "en", "big", 1)] * 900 + [(7, text, "de", "big", 2)] * 100
+    rows += [(i, f"{i} " * 10, "en", "small", 1) for i in range(100)] + [(None, "x y", None, None, None)] * 5 + [(7, text, "en", "small", 3)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, schema)
+        got = mixing.mix_sources(docs).collect()
+        assert len(got) == len(rows)
+        total = sum(r["n_tokens"] for r in got)
+        for source in ("big", "small", None):
+            mine = [r for r in got if r["source"] == source]
+            used = sum(r["copies"] * r["n_tokens"] for r in mine)
+            assert abs(used - mine[0]["weight"] * total) <= 10, source
+        assert {r["copies"] for r in got if r["source"] == "big"} == {0, 1}
+        taken = Counter((r["doc_id"], r["source"]) for r in got for _ in range(r["copies"]))
+        mixed = mixing.mix_copies(docs)
+        assert Counter((r["doc_id"], r["source"]) for r in mixed.collect()) == taken
+        assert set(mixed.collect()) <= set(docs.collect())
+
+
+def test_mix_leaves_other_columns_alone(spark):
+    names = "__id __key __copies __time __cuts __of_0 __OF_1 __told_0 copies rows at key draw block nth taken chunk".split()
+    rows = [(1 + i % 3, "a b c d" if i % 3 else "e f", "s" if i % 2 else "t", *(f"{n} {i % 2}" for n in names)) for i in range(60)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "source", *names])
+    mixed = mixing.mix_copies(docs)
+    assert mixed.columns == docs.columns and set(mixed.collect()) <= set(docs.collect())
+    assert mixed.count() == sum(r["copies"] for r in mixing.mix_sources(docs).collect())
+
+
 def test_mix_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string, lang string, source string, n_chars bigint")
     assert mixing.mix_sources(empty).collect() == []
