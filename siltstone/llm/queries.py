@@ -15,7 +15,7 @@ from siltstone.llm.license_scan import license_scan
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.quality import quality_scores
 from siltstone.llm.secret_scan import secret_scan
-from siltstone.llm.sentencepiece_codec import decode, encode
+from siltstone.llm.sentencepiece_codec import encode
 from siltstone.llm.set_join import jaccard_components
 from siltstone.llm.sharding import shards
 from siltstone.llm.vector_codes import vector_codes
@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode(encode(docs, MODEL), MODEL)
+    both = encode(docs, MODEL, decoded="decoded")
     return both.select(
         "doc_id", F.coalesce(F.size("pieces"), F.lit(0)).cast("bigint").alias("n_pieces"), "pieces",
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))

@@ -22,14 +22,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import mix, ship
+from siltstone.llm.common import mix, ship, slices
 
 #: The sign that stands for a space, and a code above Unicode for that sign itself as text.
 SPACE, LITERAL = 0x2581, 0x110000
 #: Production parameters; a number of streams limits the segmentations of a unit under one seed, None does not.
 DROPOUT, SEED, STREAMS = 0.1, 17, None
 #: Letters of a unit above which the heap is used, and code points that are encoded at a time.
-LONG, SLICE = 96, 1_000_000
+LONG, SLICE = 96, 150_000
 
 _NONE = np.int64(1) << np.int64(40)
 
@@ -216,10 +216,15 @@ def _ragged(values, starts, counts):
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)]
 
 
-def _encode_slice(v: Vocabulary, texts: list[str], doc_keys: np.ndarray, dropout: float, seed_key, streams: int | None):
-    """Ids of all texts in order, and each text's number of ids."""
-    codes = np.frombuffer("".join(f" {t}" if t else "" for t in texts).encode("utf-32-le"), np.uint32).astype(np.int64)
-    sizes = np.array([len(t) + 1 if t else 0 for t in texts], np.int64)
+def _encode_slice(
+    v: Vocabulary, texts: list[str], doc_keys: np.ndarray, places: np.ndarray, dropout: float, seed_key, streams: int | None,
+):
+    """Ids of all texts in order, and each text's number of ids. A text that is not empty begins with a space.
+
+    ``places`` has the number of each text's first unit, which is not 0 for the later parts of a long one.
+    """
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.array([len(t) for t in texts], np.int64)
     if not len(codes):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     codes[codes == SPACE] = LITERAL
@@ -233,7 +238,7 @@ def _encode_slice(v: Vocabulary, texts: list[str], doc_keys: np.ndarray, dropout
     lengths = np.diff(np.append(unit_at, len(codes)))
     first_unit = np.searchsorted(unit_at, text_at)
     per_text = np.diff(first_unit)
-    place = np.arange(len(unit_at)) - np.repeat(first_unit[:-1], per_text)
+    place = np.arange(len(unit_at)) - np.repeat(first_unit[:-1] - places, per_text)
     stream = mix(np.repeat(doc_keys, per_text) + mix(place.astype(np.uint64)))
     if streams is not None:
         stream %= np.uint64(streams)
@@ -336,21 +341,48 @@ def _bytes_for_unknown(v, ids, unit):
     return out, np.repeat(unit, count)
 
 
+def _parts(text: str) -> list[str]:
+    """A text cut before runs of spaces, where no merge crosses, into parts of about SLICE letters."""
+    out, at = [], 0
+    while len(text) - at > SLICE:
+        last = text.rfind(" ", at + 1, at + SLICE)
+        cut = at + len(text[at: last + 1].rstrip(" ")) if last > 0 else at
+        if cut <= at:  # no unit begins there
+            found = re.compile(r"(?<! ) ").search(text, at + SLICE)
+            if not found:
+                break
+            cut = found.start()
+        out.append(text[at:cut])
+        at = cut
+    return [*out, text[at:]]
+
+
 def encode_texts(v: Vocabulary, texts: list[str], doc_ids: np.ndarray, dropout: float, seed: int, streams: int | None):
     """(ids, counts) of texts, about SLICE code points at a time."""
     seed_key = mix(np.array([seed], np.int64).view(np.uint64))
     doc_keys = mix(doc_ids.astype(np.int64).view(np.uint64) + seed_key)
-    at, parts = 0, []
-    while at < len(texts):
-        end, total = at, 0
-        while end < len(texts) and (end == at or total + len(texts[end]) <= SLICE):
-            total += len(texts[end])
-            end += 1
-        parts.append(_encode_slice(v, texts[at:end], doc_keys[at:end], dropout, seed_key, streams))
-        at = end
-    if not parts:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    found, counts = [], np.zeros(len(texts), np.int64)
+    parts, of, places, total = [], [], [], 0
+
+    def encode_parts():
+        ids, n = _encode_slice(v, parts, doc_keys[of], np.array(places, np.int64), dropout, seed_key, streams)
+        found.append(ids)
+        np.add.at(counts, of, n)
+
+    for doc, text in enumerate(texts):
+        place = 0
+        for part in _parts(f" {text}") if text else ():
+            if parts and total + len(part) > SLICE:
+                encode_parts()
+                parts, of, places, total = [], [], [], 0
+            parts.append(part)
+            of.append(doc)
+            places.append(place)
+            total += len(part)
+            place += len(re.findall(" +", part)) if len(text) >= SLICE else 0
+    if parts:
+        encode_parts()
+    return (np.concatenate(found) if found else np.zeros(0, np.int32)), counts
 
 
 def decode_ids(v: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> list[str]:
@@ -369,39 +401,56 @@ def decode_ids(v: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> list[str]:
     return out
 
 
+def _piece_lists(v: Vocabulary, texts, ids, dropout: float, seed: int, streams: int | None):
+    """Arrow lists of piece ids of an Arrow column of texts."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    ids = pc.fill_null(pc.cast(ids, pa.int64()), 0).to_numpy(zero_copy_only=False)
+    found, counts = encode_texts(v, [t or "" for t in texts.to_pylist()], ids, dropout, seed, streams)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(found, pa.int32()))
+    return pc.if_else(pc.is_null(texts), pa.scalar(None, lists.type), lists) if texts.null_count else lists
+
+
+def _texts_of(v: Vocabulary, lists):
+    """Arrow texts of Arrow lists of piece ids."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ids = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
+    texts = pa.array(decode_ids(v, ids, counts), pa.string())
+    return pc.if_else(pc.is_null(lists), pa.scalar(None, pa.string()), texts) if lists.null_count else texts
+
+
 def encode(
     docs: DataFrame, model_path: str, id_column: str = "doc_id", text_column: str = "text", into: str = "pieces",
-    dropout: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS,
+    dropout: float = DROPOUT, seed: int = SEED, streams: int | None = STREAMS, decoded: str | None = None,
 ) -> DataFrame:
-    """``docs`` with a column ``into`` of piece ids.
+    """``docs`` with a column ``into`` of piece ids, and ``decoded``, if named, with the text that these give again.
 
     A null text gives null, an empty one an empty list; a null id counts as 0 in the choice of streams; repeated
-    rows get equal pieces. ``into`` replaces a column of that name, all others stay. A task holds one Arrow batch.
+    rows get equal pieces. ``into`` and ``decoded`` replace columns of these names, all others stay. A task holds the rows of
+    one Arrow batch and works on a few MB of their texts at a time.
     """
     if not 0 <= dropout < 1:
         raise ValueError("dropout lies between 0 and 1, 1 excluded")
     spark = docs.sparkSession
     ship(spark)
     vocabulary = spark.sparkContext.broadcast(read_vocabulary(model_path))
+    kept = docs.drop(into, decoded) if decoded else docs.drop(into)
+    names, at = kept.columns, kept.columns.index(text_column)
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        for batch in batches:
-            texts = batch.column(text_column)
-            ids = pc.fill_null(pc.cast(batch.column(id_column), pa.int64()), 0).to_numpy(zero_copy_only=False)
-            found, counts = encode_texts(
-                vocabulary.value, [t or "" for t in texts.to_pylist()], ids, dropout, seed, streams)
-            ends = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
-            lists = pa.ListArray.from_arrays(ends, pa.array(found, pa.int32()))
-            if texts.null_count:
-                lists = pc.if_else(pc.is_null(texts), pa.scalar(None, lists.type), lists)
-            names = [n for n in batch.schema.names if n != into]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [lists], names=[*names, into])
+        for batch in slices(batches, at):
+            lists = _piece_lists(vocabulary.value, batch.column(at), batch.column(id_column), dropout, seed, streams)
+            more = [lists, _texts_of(vocabulary.value, lists)] if decoded else [lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*names, into, *([decoded] if decoded else [])])
 
-    kept = docs.drop(into)
-    return kept.mapInArrow(run, kept.withColumn(into, F.lit(None).cast("array<int>")).schema)
+    schema = kept.withColumn(into, F.lit(None).cast("array<int>"))
+    return kept.mapInArrow(run, (schema.withColumn(decoded, F.lit(None).cast("string")) if decoded else schema).schema)
 
 
 def decode(docs: DataFrame, model_path: str, pieces_column: str = "pieces", into: str = "decoded") -> DataFrame:
@@ -412,15 +461,9 @@ def decode(docs: DataFrame, model_path: str, pieces_column: str = "pieces", into
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for batch in batches:
-            lists = batch.column(pieces_column)
-            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ids = pc.list_flatten(lists).to_numpy(zero_copy_only=False)
-            texts = pa.array(decode_ids(vocabulary.value, ids, counts), pa.string())
-            if lists.null_count:
-                texts = pc.if_else(pc.is_null(lists), pa.scalar(None, pa.string()), texts)
+            texts = _texts_of(vocabulary.value, batch.column(pieces_column))
             names = [n for n in batch.schema.names if n != into]
             yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + [texts], names=[*names, into])
 

@@ -322,6 +322,22 @@ def test_quality_of_odd_tables(spark):
     assert quality.keep_good(frame(spark, rows), labels.limit(0)).count() == 5
 
 
+# long texts
+
+def test_parts_of_long_texts_give_the_pieces_of_the_whole(spark, monkeypatch):
+    v = sentencepiece_codec.read_vocabulary(MODEL)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(("merge", "drop", "", "x" * 50, "é▁")) for _ in range(300)), "a" * 700, "  " * 300 + "b", "", "word " * 99]
+    whole = [x.tolist() for x in sentencepiece_codec.encode_texts(v, texts, np.arange(5), 0.2, 4, None)]
+    for size in (7, 64, 250):
+        monkeypatch.setattr(sentencepiece_codec, "SLICE", size)
+        assert all("".join(p) == t for t in texts if (p := sentencepiece_codec._parts(t)))
+        assert [x.tolist() for x in sentencepiece_codec.encode_texts(v, texts, np.arange(5), 0.2, 4, None)] == whole
+    docs = spark.createDataFrame([(1, texts[0], "x"), (2, None, "y"), (3, "", "z")], "doc_id bigint, text string, decoded string")
+    got = sentencepiece_codec.encode(docs, MODEL, decoded="decoded").collect()
+    assert [r["decoded"] for r in got] == [texts[0], None, ""]
+
+
 # mixing
 
 def plain_exponent(sizes, target, budget):
