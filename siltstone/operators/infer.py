@@ -13,8 +13,8 @@ from pyspark.sql import Window as W
 from siltstone.functions.text import group_names
 from siltstone.functions.types import reported_name
 from siltstone.operators.align import NAME
-from siltstone.sources.delimited import DelimitedOptions, scan_delimited
-from siltstone.sources.files import first_records, list_files, literal
+from siltstone.sources.delimited import DelimitedOptions, infer_text, scan_delimited
+from siltstone.sources.files import first_records, list_files, literal, sample_rows
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import FixedWidthSpec
 
@@ -33,18 +33,20 @@ def discover_schema(
     options: Mapping[str, Any] | None = None,
     sampling_ratio: float = 1.0,
     sample_files: int | None = None,
+    rows: int | None = None,
     naming_pattern: str | None = None,
     partition_by: Iterable[str] = (),
     fixed_width: FixedWidthSpec | None = None,
 ) -> dict[str, tuple[str, str]]:
     """column → (reported type, Spark type), sorted by column name.
 
-    Types come from all files; ``sample_files`` may limit them to so many, at the caller's risk.
+    Types come from all files; ``sample_files`` may limit them to so many, and ``rows`` to the first rows of each of these, at
+    the caller's risk: then the bytes read do not depend on the size of the files.
 
     Columns taken from file names and partition folders are added as STRING.
     """
     if file_format in ("csv", "tsv", "tab"):
-        found = _delimited(spark, list(paths), options, file_format != "csv", sampling_ratio, sample_files)
+        found = _delimited(spark, list(paths), options, file_format != "csv", sampling_ratio, sample_files, rows)
     elif file_format == "json":
         ratio = {"samplingRatio": sampling_ratio} if sampling_ratio < 1 else {}
         found = _of(scan_json(spark, paths, {**(options or {}), **ratio}).schema)
@@ -67,7 +69,8 @@ def _of(schema: T.StructType) -> dict[str, tuple[str, str]]:
 
 
 def _delimited(
-    spark: SparkSession, paths: list[str], options, tabs: bool, sampling_ratio: float, sample_files: int | None
+    spark: SparkSession, paths: list[str], options, tabs: bool, sampling_ratio: float, sample_files: int | None,
+    rows: int | None,
 ) -> dict[str, tuple[str, str]]:
     opts = DelimitedOptions.of(options, tabs)
     ratio = {"samplingRatio": sampling_ratio} if sampling_ratio < 1 else {}
@@ -75,7 +78,7 @@ def _delimited(
         raise ValueError(f"no files found in {paths}")
     if sample_files is None:
         return _of(scan_delimited(spark, paths, options={**(options or {}), **ratio}, tabs=tabs).drop(NAME).schema)
-    heads = first_records(spark, paths, opts.skip, opts.encoding)
+    heads = first_records(spark, paths, opts.skip, opts.encoding, opts.quote)
     # one row per distinct header, with the first file that carries it
     headers = {
         row["head"]: row["first_path"]
@@ -95,8 +98,13 @@ def _delimited(
             covered.update(columns_of[sources[name]])
     first_files = heads.orderBy("path").select("path").limit(sample_files + len(required)).collect()
     spare = [r["path"] for r in first_files if r["path"] not in required]
-    sample = [literal(p) for p in sorted(required) + spare[:max(0, sample_files - len(required))]]
-    typed = scan_delimited(spark, sorted(sample), options={**(options or {}), **ratio}, tabs=tabs)
+    sample = sorted(required) + spare[:max(0, sample_files - len(required))]
+    if rows is None:
+        typed = scan_delimited(spark, sorted(map(literal, sample)), options={**(options or {}), **ratio}, tabs=tabs)
+    else:
+        texts = {**(options or {}), "inferSchema": False}
+        first = sample_rows(lambda p: scan_delimited(spark, [p], options=texts, tabs=tabs).drop(NAME), sample, rows)
+        typed = infer_text(first, first.columns)
     found = _of(typed.drop(NAME).schema)
     return {name: found.get(name, ("STRING", "string")) for name in sources}
 

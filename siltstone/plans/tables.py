@@ -37,7 +37,9 @@ def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = No
         return each(scan_json(spark, paths, options, hive, table.schema, table.preserved, guard))
     if table.format == "parquet":
         return scan_parquet(spark, paths, options, hive, each)
-    return each(scan_fixed_width(spark, paths, table.fixed_width, hive=hive))
+    # read options of fixed-width tables: where short lines are looked for, and in how many lines
+    how = {"guard": str((options or {}).get("guard", "inline")), "sample_rows": (options or {}).get("sample_rows")}
+    return each(scan_fixed_width(spark, paths, table.fixed_width, **how, hive=hive))
 
 
 def plan(

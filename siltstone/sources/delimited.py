@@ -51,10 +51,14 @@ class DelimitedOptions:
     def encoding(self) -> str:
         return self.spark.get("encoding", self.spark.get("charset", "utf-8"))
 
+    @property
+    def quote(self) -> str:
+        return self.spark.get("quote", '"')
+
     def split_header(self, head: str) -> list[str]:
         if not head.strip():
             return []
-        sep, quote = self.spark.get("sep", ","), self.spark.get("quote", '"')
+        sep, quote = self.spark.get("sep", ","), self.quote
         if len(sep) != 1 or len(quote) != 1:
             return head.rstrip("\r").split(sep)
         return next(csv.reader([head.rstrip("\r")], delimiter=sep, quotechar=quote))
@@ -80,7 +84,7 @@ def header_groups(spark: SparkSession, paths: Iterable[str], options: DelimitedO
     file names of each group, which is what Spark's own file index holds there.
     """
     paths = list(paths)
-    heads = first_records(spark, paths, options.skip, options.encoding)
+    heads = first_records(spark, paths, options.skip, options.encoding, options.quote)
     heads = heads.select("path", "head", F.sha2("head", 256).alias("id"))
     distinct = heads.groupBy("id").agg(F.first("head").alias("head"), F.count("*").alias("files")).collect()
     if len(distinct) <= 1:
@@ -230,10 +234,10 @@ def _read_skipping(
     ddl = ", ".join(f"{quoted(c)} STRING" for c in columns)
     parsed = kept.withColumn("value", F.from_csv("value", ddl, dict(opts.spark)))
     parsed = parsed.select("value.*", *(col(c) for c in folders), FILE_NAME)
-    return _infer_text(parsed, columns) if infer else parsed
+    return infer_text(parsed, columns) if infer else parsed
 
 
-def _infer_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+def infer_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Types for the text columns named: the narrowest that every value of a column fits."""
     columns = list(columns)
     kinds = ["INT", "BIGINT", "DOUBLE", "TIMESTAMP"]

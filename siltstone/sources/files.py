@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import codecs
 import posixpath
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import base_name
@@ -18,6 +20,10 @@ from siltstone.storage import Storage, arrow_path
 # A listing task only returns file attributes, so thousands of splits share one task.
 LISTING_TASKS = 2048
 HEAD_BYTES = 1 << 16
+# A record that has not ended by then has a quote that is never closed; no header is this long.
+LONGEST_HEAD = 1 << 24
+# Jobs of one task that read heads at the same time.
+HEAD_JOBS = 32
 # Schemes that Python workers can open without a Hadoop client.
 DIRECT_SCHEMES = ("", "file", "s3", "s3a", "s3n", "gs")
 
@@ -88,17 +94,19 @@ def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True
     )
 
 
-def first_records(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
+def first_records(
+    spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8", quote: str = '"'
+) -> DataFrame:
     """(path, head): the first record of each file after ``skip`` lines; empty files have none."""
     paths = list(paths)
     if all(urlparse(p).scheme in DIRECT_SCHEMES for p in paths):
-        heads = file_heads(list_files(spark, paths), skip, encoding)
+        heads = file_heads(list_files(spark, paths), skip, encoding, quote)
     else:
-        heads = first_lines(spark, paths, skip, encoding)
+        heads = first_lines(spark, paths, skip, encoding, quote)
     return heads.filter(F.trim("head") != "")
 
 
-def file_heads(files: DataFrame, skip: int = 0, encoding: str = "utf-8") -> DataFrame:
+def file_heads(files: DataFrame, skip: int = 0, encoding: str = "utf-8", quote: str = '"') -> DataFrame:
     """(path, head), read straight from the files of a listing.
 
     Each task opens its files and reads a few kilobytes, so the cost follows the
@@ -108,54 +116,74 @@ def file_heads(files: DataFrame, skip: int = 0, encoding: str = "utf-8") -> Data
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            heads = [_head(path, skip, encoding) for path in batch["path"]]
+            heads = [_head(path, skip, encoding, quote) for path in batch["path"]]
             yield pd.DataFrame({"path": batch["path"], "head": heads})
 
     return files.select("path").mapInPandas(run, "path string, head string")
 
 
-def first_lines(spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8") -> DataFrame:
-    """(path, head) through Spark's text reader, for file systems only Hadoop can open.
+def sample_rows(read: Callable[[str], DataFrame], files: Iterable[str], rows: int) -> DataFrame:
+    """The first rows of each of the files, which are few.
 
-    Reads the lines of each file's first block; a task passes on at most
-    ``skip + 1`` of them. A header has to fit on one line.
+    ``read`` scans one file with any reader, on any file system. A limit stops its task after ``rows`` rows, so the bytes
+    read follow the number of files and not their size. For the first rows of every file of a table see ``rows_per_file``.
     """
-    targets, name_filter = read_target(spark, paths)
-    reader = spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
-    if name_filter:
-        reader = reader.option("pathGlobFilter", name_filter)
-    lines = reader.text(targets).select(
-        F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B")).alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-        F.col("value").alias("head"),
-    ).filter("block = 0")
-    numbered = lines.withColumn("line", F.row_number().over(W.partitionBy("path").orderBy("id")))
-    return numbered.filter(F.col("line") <= skip + 1).filter(F.col("line") == skip + 1).select("path", "head")
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [read(literal(file)).limit(rows) for file in files])
+
 
+def first_lines(
+    spark: SparkSession, paths: Iterable[str], skip: int = 0, encoding: str = "utf-8", quote: str = '"'
+) -> DataFrame:
+    """(path, head) through Spark's text reader, for file systems only Hadoop can open.
 
-def _head(path: str, skip: int, encoding: str) -> str:
+    Each file is a job of one task, many at a time, that stops after its first record, so no more than a block of a file is read.
+    A record may span lines inside quotes. The driver holds paths and heads, as it does those of a header group.
+    """
+    reader = spark.read.option("encoding", encoding)
+
+    def head(path: str) -> tuple[str, str] | None:
+        wanted = skip + 1
+        while True:
+            found = [r["value"] for r in reader.text(literal(path)).limit(wanted).collect()]
+            lines = found[skip:]
+            if found and not skip:
+                lines[0] = lines[0].removeprefix("\ufeff")
+            for end in range(1, len(lines) + 1):
+                if sum(line.count(quote) for line in lines[:end]) % 2 == 0:
+                    return path, "\n".join(lines[:end])
+            if len(found) < wanted or sum(map(len, lines)) > LONGEST_HEAD:
+                return (path, "\n".join(lines)) if lines else None
+            wanted = skip + 2 * (wanted - skip)
+
+    files = [r["path"] for r in list_files(spark, paths).filter("length > 0").select("path").collect()]
+    with ThreadPool(min(HEAD_JOBS, len(files) or 1)) as pool:
+        heads = [found for found in pool.map(head, files) if found]
+    return spark.createDataFrame(heads, "path string, head string")
+
+
+def _head(path: str, skip: int, encoding: str, quote: str = '"') -> str:
     fs, name = arrow_path(path)
     with fs.open_input_stream(name, compression="detect") as stream:
-        data = b""
+        decode = codecs.getincrementaldecoder(encoding)(errors="ignore").decode
+        text, at, inside, lines = "", 0, False, 0
+        body = 0 if skip == 0 else None  # where the first record begins
         while True:
             chunk = stream.read(HEAD_BYTES)
-            data += chunk
-            text = data.decode(encoding, errors="ignore").removeprefix("\ufeff")
-            body = text.split("\n", skip)[-1] if text.count("\n") >= skip else ""
-            complete = first_record_end(body)
-            if complete is not None:
-                return body[:complete]
-            if not chunk:
-                return body
-
-
-def first_record_end(text: str) -> int | None:
-    """Position of the line break that ends the first record outside quotes."""
-    inside = False
-    for position, char in enumerate(text):
-        if char == '"':
-            inside = not inside
-        elif char == "\n" and not inside:
-            return position
-    return None
+            text += decode(chunk, final=not chunk)
+            if at == 0:
+                text = text.removeprefix("\ufeff")
+            # each letter is looked at once, however far the record goes
+            for place in range(at, len(text)):
+                if body is None:
+                    lines += text[place] == "\n"
+                    body = place + 1 if lines == skip else None
+                elif text[place] == quote:
+                    inside = not inside
+                elif text[place] == "\n" and not inside:
+                    return text[body:place]
+            at = len(text)
+            if not chunk or (body is not None and at - body > LONGEST_HEAD):
+                return "" if body is None else text[body:]
+
+

@@ -15,7 +15,7 @@ from siltstone.operators.infer import discover_folder, discover_schema, rows_per
 from siltstone.plans import tables
 from siltstone.plans.tables import expand, plan, resolve_inputs
 from siltstone.sources.archives import glob_regex, kind_of, safe_member
-from siltstone.sources.files import file_heads, first_lines, list_files
+from siltstone.sources.files import file_heads, first_lines, list_files, sample_rows
 from siltstone.sources.fixed_width import ShortLineError, check_lines, read_lines, scan_fixed_width
 from siltstone.sources.logs import scan_logs, select_logs
 from siltstone.sources.synthetic import generate_sales, write_sales
@@ -493,3 +493,53 @@ def test_inline_json_of_arrays_documents_folders_and_names(spark, put, tmp_path)
 def test_empty_json_under_an_inline_guard(spark, put):
     df = plan(spark, table(put("a.json", ""), format="json", schema={"id": "INT"}), guard="inline")
     assert df.columns == ["id"] and df.collect() == []
+
+
+# --- heads and samples ------------------------------------------------------------
+
+def bytes_since(spark, stage):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    found = [(stages.apply(i).stageId(), stages.apply(i).inputBytes()) for i in range(stages.size())]
+    return max(s for s, _ in found), sum(b for s, b in found if s > stage)
+
+
+def test_heads_and_first_rows_read_little_of_a_file(spark, put):
+    path = put("KX-11.csv", "id,v\n" + "1,some text of a row that goes on for a while\n" * 600_000)
+    other = put("KX-12.csv", "id,v\n5,x\n")
+    folder = path.rsplit("/", 1)[0]
+    stage, _ = bytes_since(spark, 0)
+    assert sorted(r["head"] for r in first_lines(spark, [folder]).collect()) == ["id,v", "id,v"]
+    got = sample_rows(lambda p: spark.read.schema("id INT, v STRING").option("header", True).csv(p), [path, other], 3)
+    assert sorted(r["id"] for r in got.collect()) == [1, 1, 1, 5]
+    # the number 7 in the last row stays unseen
+    put("KX-11.csv", "id,v\n" + "1,2\n" * 600_000 + "x,y\n")
+    assert discover_schema(spark, [folder], "csv", sample_files=1, rows=100) == {"id": ("INTEGER", "int"), "v": ("INTEGER", "int")}
+    assert bytes_since(spark, stage)[1] < 2_000_000
+    assert discover_schema(spark, [folder], "csv")["id"] == ("STRING", "string")
+
+
+@pytest.mark.parametrize("quote, text, head", [
+    ('"', 'a,"b\nc",d\n1,2,3\n', 'a,"b\nc",d'), ("'", "a,'b\nc',d\n1,2,3\n", "a,'b\nc',d"),
+    ("'", 'a,5" pipe\n1,2\n', 'a,5" pipe'), ('"', "only", "only"), ('"', "", None), ('"', '"open\n1\n2\n', '"open\n1\n2')])
+def test_heads_by_either_way_follow_the_declared_quote(spark, put, quote, text, head):
+    path = put("a.csv", text)
+    by_text = [r["head"] for r in first_lines(spark, [path], quote=quote).collect()]
+    by_file = [r["head"].rstrip("\n") for r in file_heads(list_files(spark, [path]), quote=quote).collect() if r["head"]]
+    assert by_text == by_file == ([] if head is None else [head])
+
+
+def test_heads_after_skipped_lines_and_marks(spark, put):
+    path = put("a.csv", "﻿note\nmore\nid,v\n1,2\n")
+    for skip, head in ((0, "note"), (2, "id,v"), (9, None)):
+        by_text = [r["head"] for r in first_lines(spark, [path], skip).collect()]
+        by_file = [r["head"] for r in file_heads(list_files(spark, [path]), skip).collect() if r["head"]]
+        assert by_text == by_file == ([] if head is None else [head])
+
+
+def test_unbalanced_quotes_do_not_take_the_whole_file(spark, put, monkeypatch):
+    from siltstone.sources import files
+
+    path = put("a.csv", 'id,"v\n' + "x" * 1_000_000 + "\n" + "y" * 100)
+    monkeypatch.setattr(files, "LONGEST_HEAD", 200_000)
+    assert len(files._head(path, 0, "utf-8")) < 400_000
