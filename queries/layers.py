@@ -27,6 +27,19 @@ def salted_write(spark, sf_dir):
     )
 
 
+@query(
+    "SELECT o_orderstatus, count(*) AS rows, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS salts, true AS even FROM orders GROUP BY o_orderstatus"
+)
+def salted_keys(spark, sf_dir):
+    """Each status has as many salts as its own rows ask for, filled alike; a small one has a single folder."""
+    path = scratch_path(spark, "salted-keys")
+    write_table(
+        tpch(spark, sf_dir, "orders"), path, WriteOptions(partition_by=("o_orderstatus",), salted=True, target_rows=1000))
+    folders = read_table(spark, path).groupBy("o_orderstatus", "salt").agg(F.count("*").alias("rows"))
+    return folders.groupBy("o_orderstatus").agg(
+        F.sum("rows").alias("rows"), F.count("*").alias("salts"), (F.max("rows") <= 1250).alias("even"))
+
+
 @query("SELECT c_mktsegment, count(*) * 2 AS rows, round(sum(c_acctbal) * 2, 2) AS balance FROM customer GROUP BY c_mktsegment")
 def append_twice(spark, sf_dir):
     path = scratch_path(spark, "appended")

@@ -5,16 +5,21 @@ from __future__ import annotations
 import dataclasses
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import col
+from siltstone.session import materialise
 from siltstone.spec import ROWS_PER_MB, TARGET_FILE_SIZE_MB, TARGET_ROWS
 from siltstone.storage import Storage
 
 SALT = "salt"
+ROWS = "__rows_of_key"
+# Hot keys that are sent to every task; a table with more is joined by a shuffle.
+MOST_BROADCAST = 100_000
 STAGED, REPLACED = ".tmp_new", ".tmp_old"
 
 
@@ -37,22 +42,45 @@ class WriteOptions:
         return self.max_records_per_file or self.target_file_size_mb * ROWS_PER_MB
 
 
-def salt_count(df: DataFrame, target_rows: int) -> int:
-    return max(1, df.count() // target_rows)
+def hot_keys(df: DataFrame, keys: list[str], target_rows: int) -> tuple[DataFrame, int]:
+    """Keys with more than ``target_rows`` rows and the number of salts each needs, and how many such keys there are.
 
+    Rows are counted per key in one aggregation over the key columns alone; there are at most rows / target_rows such keys, and
+    never more than the table will have folders.
+    """
+    counts = df.groupBy(*(col(k) for k in keys)).agg(F.count("*").alias(ROWS)).filter(F.col(ROWS) > target_rows)
+    hot = materialise(counts.select(
+        *(col(k).alias(f"{ROWS}_{n}") for n, k in enumerate(keys)), F.ceil(F.col(ROWS) / target_rows).cast("int").alias(ROWS)), "hot-keys")
+    return hot, hot.count()
 
-def with_salt(df: DataFrame, salts: int) -> DataFrame:
-    """A column ``salt`` in [0, salts) that follows from the row and where it was read.
 
-    A task that runs again gives its rows the same salts. Where the frame reads
-    files, copies of a row get the salts of the blocks they lie in.
+def _place(df: DataFrame) -> Column:
+    """A number per row that a task which runs again repeats.
+
+    Rows read from files are numbered where they are read, so copies of a row differ; others are known by their values.
     """
-    row = [col(c) for c in df.columns]
-    block = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
     try:
-        return df.select("*", F.pmod(F.xxhash64(*row, *block), F.lit(salts)).cast("int").alias(SALT))
+        df.select(F.col("_metadata.file_path"))
+        return F.monotonically_increasing_id()
     except AnalysisException:  # not a frame over files
-        return df.select("*", F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int").alias(SALT))
+        return F.xxhash64(*(col(c) for c in df.columns))
+
+
+def with_salt(df: DataFrame, salts: int) -> DataFrame:
+    """A column ``salt`` in [0, salts), whatever the key."""
+    return df.select("*", F.pmod(F.xxhash64(_place(df)), F.lit(salts)).cast("int").alias(SALT))
+
+
+def with_key_salts(df: DataFrame, keys: list[str], target_rows: int) -> DataFrame:
+    """A column ``salt``: 0 for keys of up to ``target_rows`` rows, numbers from 0 for larger ones, about target_rows rows each."""
+    hot, many = hot_keys(df, keys, target_rows)
+    if not many:
+        return df.withColumn(SALT, F.lit(0))
+    same = reduce(Column.__and__, (col(k).eqNullSafe(F.col(f"{ROWS}_{n}")) for n, k in enumerate(keys)))
+    placed = df.withColumn(f"{ROWS}_place", _place(df))
+    joined = placed.join(F.broadcast(hot) if many <= MOST_BROADCAST else hot, same, "left")
+    salt = F.pmod(F.xxhash64(f"{ROWS}_place"), F.coalesce(F.col(ROWS), F.lit(1))).cast("int")
+    return joined.select(*(col(c) for c in df.columns), salt.alias(SALT))
 
 
 def prepare(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, list[str]]:
@@ -63,7 +91,7 @@ def prepare(df: DataFrame, options: WriteOptions) -> tuple[DataFrame, list[str]]
     """
     keys = list(options.partition_by)
     if options.salted and keys:
-        df = with_salt(df, salt_count(df, options.target_rows))
+        df = with_key_salts(df, keys, options.target_rows)
         keys.append(SALT)
     if keys and (options.gather or options.salted):
         df = df.hint("rebalance", *(col(k) for k in keys))

@@ -12,6 +12,8 @@ from siltstone.operators.sinks import (
     overwrite_partitions,
     publish,
     recover,
+    hot_keys,
+    with_key_salts,
     with_salt,
     write_single_csv,
     write_table,
@@ -55,6 +57,23 @@ def test_salts_spread_a_skewed_key(spark, tmp_path):
     assert with_salt(df, 10).exceptAll(with_salt(df, 10)).isEmpty()
 
 
+def test_only_large_keys_are_salted(spark, tmp_path):
+    values = [("A", "x")] * 950 + [("B", "x")] * 50 + [(None, "x")] * 250
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.createDataFrame(values, "category string, v string").repartition(3).write.parquet(src)
+    df = spark.read.parquet(src)
+    salted = with_key_salts(df, ["category"], 100)
+    got = {(r["category"], r["salt"]): r["count"] for r in salted.groupBy("category", "salt").count().collect()}
+    assert sum(got.values()) == 1250 and got["B", 0] == 50
+    assert {s for k, s in got if k == "A"} == set(range(10)) and {s for k, s in got if k is None} == set(range(3))
+    assert max(got.values()) < 150  # equal rows are spread by their place
+    assert salted.exceptAll(with_key_salts(df, ["category"], 100)).isEmpty()
+    write_table(df, out, WriteOptions(partition_by=("category",), salted=True, target_rows=2000))
+    assert {f.split("/salt=")[1].split("/")[0] for f in files(out)} == {"0"}
+    hot, many = hot_keys(df, ["category"], 100)
+    assert many == 2 and "ReadSchema: struct<category:string>" in df.groupBy("category").count()._jdf.queryExecution().toString()
+
+
 def test_copies_of_a_row_get_the_salts_of_their_blocks(spark, tmp_path):
     src = str(tmp_path / "src")
     spark.range(800).select(F.lit(1).alias("x")).repartition(8).write.parquet(src)
