@@ -29,7 +29,7 @@ SPACE, LITERAL = 0x2581, 0x110000
 #: Production parameters; a number of streams limits the segmentations of a unit under one seed, None does not.
 DROPOUT, SEED, STREAMS = 0.1, 17, None
 #: Letters of a unit above which the heap is used, and code points that are encoded at a time.
-LONG, SLICE = 96, 150_000
+LONG, SLICE = 96, 600_000
 
 _NONE = np.int64(1) << np.int64(40)
 
