@@ -36,7 +36,7 @@ FILL = 2.4
 HOT = 24
 #: Buckets of the smallest parity sketch.
 LEAST_BITS = 512
-#: Leaders that a family of sets made of frequent passages is compared with, besides the first.
+#: Signatures of a set made of frequent passages whose leaders it is compared with, besides the first.
 LEADERS = 8
 
 
@@ -308,16 +308,21 @@ def jaccard_rows(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     families, n_families = kept(components(links), "families")
 
     # sets that cannot do without their hot signatures, and further leaders for them
-    heat = shared.where("hot").groupBy("node", "level").agg(F.count("*").alias("heat"), F.min("slack").alias("room"))
-    bound, n_bound = kept(heat.where("heat > room").select("node").distinct(), "bound")
+    heat = shared.where("hot").groupBy("node", "level").agg(
+        F.count("*").alias("heat"), F.min("slack").alias("room"), F.max("n").alias("n"))
+    # in a family of near copies the text they were made from shares more of its signatures than any copy
+    heat = heat.withColumn("share", F.col("heat") / (F.col("room") + F.expr("n div 3") + 1))
+    bound, n_bound = kept(heat.where("heat > room").groupBy("node").agg(F.max("share").alias("share")), "bound")
     crowd = _in_families(
         join_known(shared.where("hot").select("sig", "node"), bound, n_bound, "node"), families, n_families)
-    # the same few signatures for all that share them, and a leader of its own for each
+    # the same few signatures for all that share them, and for each the leader that shares the most and one of its own
     few = Window.partitionBy("node").orderBy(F.xxhash64("sig"), "sig")
     crowd = crowd.withColumn("place", F.row_number().over(few)).where(F.col("place") <= LEADERS).drop("place")
-    leads = crowd.groupBy("sig").agg(F.min_by(F.struct("node", "family"), F.xxhash64("node", "sig")).alias("lead"))
+    member, draw = F.struct("node", "family"), F.xxhash64("node", "sig")
+    leads = crowd.groupBy("sig").agg(F.array(
+        F.min_by(member, F.struct(-F.col("share"), F.xxhash64("node"))), F.min_by(member, draw)).alias("leads"))
     again = materialise(
-        crowd.join(leads, "sig").where("family <> lead.family")
+        crowd.join(leads, "sig").select("node", "family", F.explode("leads").alias("lead")).where("family <> lead.family")
         .select(F.col("lead.node").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     bound_sets = _sets(docs, classes, bound.select(F.col("node").alias("a"), F.col("node").alias("b")))
     links = _linked(again, classes, docs)
