@@ -150,6 +150,44 @@ def increment(spark, sf_dir):
     return read_table(spark, Paths.of(data, data.tables[0]).curated)
 
 
+@query(
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus, lpad(CAST(o_orderkey % 12 AS VARCHAR), 2, '0') "
+    "AS lot FROM orders"
+)
+def leading_zero_key(spark, sf_dir):
+    """Lots 00 to 11 come from file names and stay text in every layer, over two runs; the second one replaces lots 07 to 09."""
+    orders = tpch(spark, sf_dir, "orders").withColumn("lot", F.lpad((F.col("o_orderkey") % 12).cast("string"), 2, "0"))
+    root = scratch_path(spark, "lots")
+    store, raw = Storage(spark), f"{root}/raw/orders"
+    data = dataset(root, {
+        "name": "orders", "path": f"{raw}/*.csv", "schema": ORDERS, "partition_by": ["lot"], "transform": _marked,
+        "naming_pattern": r"(?P<lot>\d\d)_\d+\.csv", "batch_strategy": "partition_aware",
+    })
+
+    def add(df, label: str) -> None:
+        made = f"{root}/{label}"
+        df.repartition("lot").write.partitionBy("lot").option("header", True).csv(made)
+        landing.name_by_folder(spark, made, raw)
+
+    late = F.col("lot").between("07", "09")
+    add(orders.filter(~late), "first")
+    add(orders.filter(late).withColumn("o_totalprice", F.lit(0.0)), "wrong")
+    run(spark, data, skip_summary=True)
+    for lot in ("07", "08", "09"):
+        for path in store.matches(f"{raw}/{lot}_*.csv"):
+            store.delete(path)
+    add(orders.filter(late), "second")
+    run(spark, data, skip_summary=True)
+    layers = Paths.of(data, data.tables[0])
+    kept = read_table(spark, layers.processed).select("o_orderkey", "lot")
+    return read_table(spark, layers.curated).join(kept, ["o_orderkey", "lot"]).where("mark = lot || o_orderstatus").drop("mark")
+
+
+def _marked(df):
+    """A column that a key read as a number would spoil."""
+    return df.withColumn("mark", F.concat("lot", "o_orderstatus"))
+
+
 @query(
     "SELECT c_custkey, c_name, c_nationkey, c_acctbal, 'tpch' AS origin FROM customer"
 )

@@ -10,9 +10,12 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.text import col
 from siltstone.session import materialise
+from siltstone.sources.files import list_files
+from siltstone.sources.structured import store_schema, stored_schema
 from siltstone.spec import ROWS_PER_MB, TARGET_FILE_SIZE_MB, TARGET_ROWS
 from siltstone.storage import Storage
 
@@ -110,9 +113,16 @@ def write_table(df: DataFrame, path: str, options: WriteOptions = WriteOptions()
     if options.output_format == "delta":
         require_delta()
         writer.format("delta").option("mergeSchema", "true").save(path)
+        return
+    spark = df.sparkSession
+    if options.mode == "append" and Storage(spark).exists(path):
+        # ahead of the rows: a column that no file has yet reads as NULL
+        if stored_schema(spark, path) is not None:
+            store_schema(spark, path, df.schema, keys, beside=True)
+        writer.parquet(path)
     else:
-        # appended columns are found again by the merged-schema read
         writer.parquet(path)
+        store_schema(spark, path, df.schema, keys)
 
 
 def require_delta() -> None:
@@ -122,14 +132,20 @@ def require_delta() -> None:
         raise RuntimeError("output_format delta needs the delta-spark package; parquet tables evolve without it") from exc
 
 
-def overwrite_partitions(df: DataFrame, path: str, options: WriteOptions) -> None:
+def overwrite_partitions(df: DataFrame, path: str, options: WriteOptions, touched: DataFrame | None = None) -> None:
     """Replace the partitions that occur in ``df`` and leave the others alone.
 
     There is no salt folder: one left from an earlier, larger number of salts
-    would not be replaced. A large partition is still split between tasks.
+    would not be replaced. A large partition is still split between tasks. Partitions of ``touched`` for which
+    ``df`` has no rows are removed: their old files are still there after the write, which listings tell.
     """
+    spark = df.sparkSession
     gather = options.gather or options.salted
     df, keys = prepare(df, dataclasses.replace(options, salted=False, gather=gather))
+    there = Storage(spark).exists(path)
+    before = materialise(list_files(spark, [path]).select("path"), "files-before") if there and touched is not None else None
+    if there and stored_schema(spark, path) is not None:
+        store_schema(spark, path, df.schema, keys, beside=True)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -138,18 +154,28 @@ def overwrite_partitions(df: DataFrame, path: str, options: WriteOptions) -> Non
         .partitionBy(*keys)
         .parquet(path)
     )
+    if not there:
+        store_schema(spark, path, df.schema, keys)
+    if before is not None:
+        drop_partitions(spark, path, touched, df.schema, before)
+
 
+def drop_partitions(spark: SparkSession, path: str, touched: DataFrame, schema: T.StructType, before: DataFrame) -> None:
+    """Remove the folders of touched partitions in which files of before the write are left.
 
-def drop_partitions(spark: SparkSession, path: str, touched: DataFrame, df: DataFrame) -> None:
-    """Remove the folders of partitions that a run touched and that ``df`` no longer has rows for."""
+    Values are put as the writer puts them, in the type that the written column has.
+    """
     keys = touched.columns
-    left = touched.select(*(col(k).cast("string").alias(k) for k in keys)).join(
-        df.select(*(col(k).cast("string").alias(k) for k in keys)).distinct(), keys, "left_anti")
-    store, escaped = Storage(spark), spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for row in left.toLocalIterator():
-        folder = "/".join([path, *(f"{k}={escaped(row[k])}" for k in keys)])
-        if store.exists(folder):
-            store.delete(folder)
+    values = touched.select(*(col(k).try_cast(schema[k].dataType).cast("string").alias(k) for k in keys))
+    left = before.join(list_files(spark, [path]).select("path"), "path", "left_semi")
+    folders = left.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    store = Storage(spark)
+    place = F.substring("folder", len(store.qualified(path)) + 2, 1 << 20)
+    decoded = F.url_decode(F.regexp_replace(place, r"\+", "%2B"))
+    named = values.select(F.concat_ws("/", *(
+        F.concat(F.lit(f"{k}="), F.coalesce(col(k), F.lit("__HIVE_DEFAULT_PARTITION__"))) for k in keys)).alias("name"))
+    for row in folders.join(named, decoded == F.col("name"), "left_semi").toLocalIterator():
+        store.delete(row["folder"])
 
 
 def recover(spark: SparkSession, path: str) -> bool:

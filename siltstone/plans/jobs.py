@@ -19,7 +19,6 @@ from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_schema, schema_rows
 from siltstone.operators.profile import describe_columns, profile_columns, report_rows
 from siltstone.operators.sinks import (
-    drop_partitions,
     SALT,
     WriteOptions,
     overwrite_partitions,
@@ -238,19 +237,17 @@ def _touched_partitions(
 
 
 def _only(frame: DataFrame, partitions: DataFrame | None) -> DataFrame:
-    """The partitions of a written table that a run has touched, as a filter that prunes folders.
+    """The partitions of a written table that a run has touched.
 
-    Folder values come back in the types Spark reads from them, so the wanted
-    values are cast to those first. The driver holds them, as it holds the
-    partitions of every table it reads.
+    A semi-join with the touched partitions, which are no more than the table has folders: while it runs, Spark prunes the
+    folders by the values of that side. The condition on the keys is what makes it count as selective.
     """
     if partitions is None:
         return frame
     keys = partitions.columns
-    types = {k: frame.schema[k].dataType for k in keys}
-    wanted = partitions.select(*(col(k).cast(types[k]).alias(k) for k in keys)).collect()
-    values = [F.struct(*(F.lit(row[k]).cast(types[k]).alias(k) for k in keys)) for row in wanted]
-    return frame.filter(F.struct(*(col(k) for k in keys)).isin(values))
+    wanted = partitions.filter(F.length(col(keys[0]).cast("string")) >= 0).select(
+        *(col(k).cast(frame.schema[k].dataType).alias(k) for k in keys))
+    return frame.join(F.broadcast(wanted), keys, "left_semi").select(*(col(c) for c in frame.columns))
 
 
 def _build(
@@ -321,8 +318,7 @@ def _replace(
     spark: SparkSession, frame: DataFrame, path: str, options: WriteOptions, touched: DataFrame | None = None
 ) -> None:
     if touched is not None:
-        overwrite_partitions(frame, path, options)
-        drop_partitions(spark, path, touched, frame)
+        overwrite_partitions(frame, path, options, touched)
     elif options.output_format == "delta":
         write_table(frame, path, options)
     else:

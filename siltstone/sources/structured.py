@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
@@ -15,8 +16,10 @@ from siltstone.functions.types import parse_type
 from siltstone.operators.align import GUARD_PREFIX, guard_extra_columns
 from siltstone.sources.delimited import unite
 from siltstone.sources.files import list_files, literal, read_target
-from siltstone.storage import arrow_path
+from siltstone.storage import Storage, arrow_path
 
+#: Written beside a table's files; readers leave out names that begin so.
+SCHEMA_FILE = "_written_schema.json"
 NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -118,10 +121,39 @@ def scan_parquet(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A written table: columns added over time are merged, partition folders become columns."""
+    """A written table: columns added over time are merged, partition folders become columns.
+
+    The schema that the writer left beside the files gives the types, so a key keeps its text (``09`` is not read as 9) and no
+    footers have to be merged. Tables without one are looked at.
+    """
+    written = stored_schema(spark, path)
+    if written is not None:
+        return spark.read.schema(written).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    text = Storage(spark).read_text(f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def store_schema(spark: SparkSession, path: str, schema: T.StructType, keys: Iterable[str] = (), beside: bool = False) -> None:
+    """Leave ``schema`` (keys last, all columns nullable) with the table; ``beside`` keeps columns that were there before.
+
+    A column that changes its type drops the stored schema, and the table is looked at as before.
+    """
+    keys = list(keys)
+    known = stored_schema(spark, path) if beside else None
+    fields = {f.name: T.StructField(f.name, f.dataType, True) for f in (known or [])}
+    for f in schema:
+        if f.name in fields and fields[f.name].dataType != f.dataType:
+            Storage(spark).delete(f"{path.rstrip('/')}/{SCHEMA_FILE}")
+            return
+        fields[f.name] = T.StructField(f.name, f.dataType, True)
+    ordered = [f for n, f in fields.items() if n not in keys] + [fields[k] for k in keys]
+    Storage(spark).write_text(f"{path.rstrip('/')}/{SCHEMA_FILE}", T.StructType(ordered).json())
+
+
 def footer_groups(files: DataFrame) -> list[list[str]]:
     """Paths by identical footer schema; footers are read on the executors."""
 

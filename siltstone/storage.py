@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import uuid
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import SparkSession
@@ -54,6 +55,28 @@ class Storage:
         fs.deleteOnExit(target)
         fs.delete(target, True)
 
+    def read_text(self, path: str) -> str | None:
+        """A small text file; None where there is none."""
+        fs, target = self._open(path)
+        if not fs.exists(target):
+            return None
+        stream = fs.open(target)
+        try:
+            return bytes(stream.readAllBytes()).decode("utf-8")
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Replace a small text file: readers see the old text or the new one where the file system renames atomically."""
+        fs, target = self._open(path)
+        _, made = self._open(f"{path}.{uuid.uuid4().hex[:12]}")
+        stream = fs.create(made, True)
+        stream.write(bytearray(text.encode("utf-8")))
+        stream.close()
+        if fs.exists(target):
+            fs.delete(target, False)
+        self.rename(made.toString(), path)
+
     def rename(self, source: str, target: str) -> None:
         fs, src = self._open(source)
         _, dst = self._open(target)

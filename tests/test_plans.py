@@ -60,6 +60,17 @@ def test_touched_partitions_are_pruned(spark, tmp_path):
     assert "PartitionFilters: []" not in scan and "DataFilters: []" in scan
 
 
+def test_folders_are_pruned_by_what_a_run_touched(spark, tmp_path):
+    out, told = str(tmp_path / "t"), str(tmp_path / "touched")
+    df = spark.range(400).selectExpr("id AS v", "lpad(cast(id % 40 AS string), 2, '0') AS lot")
+    write_table(df, out, WriteOptions(partition_by=("lot",), gather=True))
+    spark.createDataFrame([("03",), ("09",)], "lot string").write.parquet(told)
+    kept = _only(read_table(spark, out), spark.read.parquet(told))
+    assert {r["lot"] for r in kept.collect()} == {"03", "09"} and kept.count() == 20
+    shown = text(kept)
+    assert "dynamicpruning" in shown and "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
+
+
 @pytest.mark.parametrize("name", [
     "chk_report", "chk_unique", "latest_state", "pending_files", "manifest_rollup", "batches", "schema_staleness",
     "profile_describe", "report", "hive_scan", "merged_schema", "salted_write"])

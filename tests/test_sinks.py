@@ -18,7 +18,7 @@ from siltstone.operators.sinks import (
     write_single_csv,
     write_table,
 )
-from siltstone.sources.structured import read_table
+from siltstone.sources.structured import read_table, store_schema, stored_schema
 
 
 def files(path):
@@ -123,3 +123,31 @@ def test_single_csv_and_missing_delta(spark, tmp_path):
     assert len(glob(f"{out}/part-*.csv")) == 1
     with pytest.raises(RuntimeError, match="delta"):
         write_table(spark.range(1), str(tmp_path / "d"), WriteOptions(output_format="delta"))
+
+
+def test_keys_keep_their_text_in_a_written_table(spark, tmp_path):
+    out, keys = str(tmp_path / "t"), ("lot",)
+    write_table(spark.createDataFrame([(1, "09"), (2, "9"), (3, None), (4, "a:b c%")], "v int, lot string"), out, WriteOptions(partition_by=keys))
+    assert {(r["v"], r["lot"]) for r in read_table(spark, out).collect()} == {(1, "09"), (2, "9"), (3, None), (4, "a:b c%")}
+    more = spark.createDataFrame([(5, 1.5, "010")], "v int, w double, lot string")
+    write_table(more, out, WriteOptions(mode="append", partition_by=keys))
+    back = read_table(spark, out)
+    assert back.columns == ["v", "w", "lot"] and {r["lot"] for r in back.filter("w = 1.5").collect()} == {"010"}
+    # a column of another type: looked at as if nothing was known
+    write_table(spark.createDataFrame([("x", "1")], "u string, lot string"), out, WriteOptions(mode="append", partition_by=keys))
+    assert stored_schema(spark, out)["u"].dataType.simpleString() == "string"
+    store_schema(spark, out, spark.createDataFrame([], "v bigint").schema, beside=True)
+    assert stored_schema(spark, out) is None
+    plain = str(tmp_path / "plain")
+    spark.range(3).write.parquet(plain)
+    assert read_table(spark, plain).count() == 3 and stored_schema(spark, plain) is None
+
+
+def test_partitions_without_rows_go_whatever_their_type_and_letters(spark, tmp_path):
+    for kind, values in (("string", ["09", "a:b c%", None, "x"]), ("int", [9, 10, None, 11])):
+        out = str(tmp_path / kind)
+        old = spark.createDataFrame([(n, v) for n, v in enumerate(values)], f"v int, k {kind}")
+        write_table(old, out, WriteOptions(partition_by=("k",)))
+        touched = spark.createDataFrame([(None if v is None else str(v).zfill(2),) for v in values[:3]], "k string")
+        overwrite_partitions(old.filter("v = 1"), out, WriteOptions(partition_by=("k",)), touched)
+        assert {(r["v"], r["k"]) for r in read_table(spark, out).collect()} == {(1, values[1]), (3, values[3])}
