@@ -5,15 +5,17 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 from dataclasses import dataclass
+from decimal import Context, Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.functions.text import col
 from siltstone.functions.types import reported_name
+from siltstone.session import materialise
 
 # Columns per aggregation pass. Parquet reads only the columns of a pass, so more
 # passes do not read more data, and the generated code stays small.
@@ -24,6 +26,9 @@ SAMPLE_SHARE = 20
 SAMPLE_ROWS = (100_000, 20_000_000)
 SKETCH_ACCURACY = 5000
 ROWS_TO_SORT = 100_000
+# Size of the sketch that proposes bounds, and how far from the middle rank they are taken (about twice its error).
+SKETCH_K = 4096
+SKETCH_SLACK = 0.0025
 DRAW = "__draw"
 
 
@@ -45,9 +50,9 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
     Exact by default. ``approximate`` answers distinct counts and medians from
     sketches in the one pass that computes the rest.
     """
-    medians = {} if approximate else exact_medians(df, _numeric(df))
     numbers = set(_numeric(df))
     parts = []
+    proposals: dict[str, tuple] = {}
     for fields in _passes(list(df.schema.fields)):
         aggregates, rows = [], []
         for i, f in enumerate(fields):
@@ -65,23 +70,56 @@ def profile_columns(df: DataFrame, approximate: bool = False) -> DataFrame:
                 aggregates += [F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}"), F.avg(c).alias(f"mean_{i}")]
                 if approximate:
                     aggregates.append(F.percentile_approx(c, 0.5).alias(f"median_{i}"))
+                else:
+                    aggregates += _around_middle(f, i)
             values = {name: F.col(f"{name}_{i}") if number else F.lit(None) for name in ("min", "max", "mean")}
-            values["median"] = (
-                F.col(f"median_{i}") if number and approximate else F.lit(medians.get(f.name))
-            )
+            values["median"] = F.col(f"median_{i}") if number and approximate else F.lit(None)
             entry += [value.cast("double").alias(name) for name, value in values.items()]
             rows.append(F.struct(*entry))
-        parts.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
+        found = df.agg(*aggregates)
+        if not approximate:
+            # one row, kept so that the medians and the profile come from the same pass
+            row = found.first()
+            proposals.update({f.name: _proposal(f, row, i) for i, f in enumerate(fields) if f.name in numbers})
+            found = df.sparkSession.createDataFrame([row], found.schema)
+        parts.append(found.select(F.inline(F.array(*rows))))
     profile = reduce(DataFrame.unionByName, parts)
     if approximate:
         return profile
-    # both sides hold one row per column of the table
-    counted = profile.join(F.broadcast(distinct_counts(df)), "variable", "left")
+    medians = exact_medians(df, _numeric(df), proposals)
+    middle = df.sparkSession.createDataFrame(list(medians.items()), "name string, value double")
+    # all sides hold one row per column of the table
+    counted = profile.join(F.broadcast(distinct_counts(df)), "variable", "left").join(
+        F.broadcast(middle), F.col("variable") == F.col("name"), "left").withColumn("median", F.col("value"))
     return counted.select(
         "variable", "type", "null_count", "distinct_count", "min", "max", "mean", "median"
     )
 
 
+def _around_middle(field: T.StructField, i: int) -> list[Column]:
+    """Number of values, and two values around the middle rank from a sketch that merges between tasks."""
+    value = col(field.name)
+    if isinstance(field.dataType, T.IntegralType):
+        sketch, quantile = F.kll_sketch_agg_bigint(value.cast("bigint"), F.lit(SKETCH_K)), F.kll_sketch_get_quantile_bigint
+    else:
+        # values that are no numbers sort last; they shift the proposal, not the result
+        number = value.cast("double")
+        sketch, quantile = F.kll_sketch_agg_double(F.when(~F.isnan(number), number), F.lit(SKETCH_K)), F.kll_sketch_get_quantile_double
+    some = F.count_if(value.isNotNull() & ~F.isnan(value.cast("double"))) > 0
+    return [F.count(value).alias(f"values_{i}"), *(
+        F.when(some, quantile(sketch, F.lit(share))).alias(f"{side}_{i}")
+        for side, share in (("below", 0.5 - SKETCH_SLACK), ("above", 0.5 + SKETCH_SLACK)))]
+
+
+def _proposal(field: T.StructField, row, i: int) -> tuple:
+    """(number of values, lower, upper bound) in the column's own type."""
+    bounds = [row[f"below_{i}"], row[f"above_{i}"]]
+    if isinstance(field.dataType, T.DecimalType):
+        bounds = [None if b is None else Decimal(repr(b)).quantize(
+            Decimal(1).scaleb(-field.dataType.scale), context=Context(prec=60)) for b in bounds]
+    return (row[f"values_{i}"], *bounds)
+
+
 def distinct_counts(df: DataFrame) -> DataFrame:
     """(variable, distinct_count), NULLs excluded.
 
@@ -110,6 +148,9 @@ class RankSearch:
     high: Any = None
     answer: Any = None
 
+    def is_within(self, a: Any, b: Any) -> bool:
+        return self.low is not None and self.high is not None and self.low >= a and self.high <= b
+
     def is_inside(self) -> Column:
         value = col(self.column)
         test = value.isNotNull()
@@ -137,34 +178,62 @@ class RankSearch:
             self.low, self.rows, self.rank = b, self.rows - passed, self.rank - passed
 
 
-def exact_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
-    """Exact medians without sorting the table.
+def exact_medians(df: DataFrame, columns: list[str], proposals: dict[str, tuple] | None = None) -> dict[str, float | None]:
+    """Exact medians in two scans, without sorting the table.
 
-    A sample proposes two values around the middle rank; one pass over all rows
-    counts those below, at and between them, and only the part that holds the
-    rank is looked at further; a part of few rows is sorted. The counts decide,
-    so a poor proposal costs a round but never the result. A round keeps about
-    one row in a hundred, so rounds grow with the logarithm of the rows.
+    A sketch proposes two values around the middle rank. One pass over all rows counts those below and at the bounds,
+    and in the same pass keeps the values between them, about one in two hundred; the rank is found among
+    these. The counts decide, so a poor proposal costs further rounds, with samples of all rows, but never the result.
     """
-    counts: dict[str, int] = {}
-    for names in _passes(columns):
-        row = df.agg(*(F.count(col(c)).alias(str(i)) for i, c in enumerate(names))).first()
-        counts.update({c: row[i] for i, c in enumerate(names)})
+    if proposals is None:
+        proposals = {}
+        for fields in _passes([f for f in df.schema if f.name in columns]):
+            row = df.agg(*(a for i, f in enumerate(fields) for a in _around_middle(f, i))).first()
+            proposals.update({f.name: _proposal(f, row, i) for i, f in enumerate(fields)})
     searches = {
-        c: [RankSearch(c, rank, n) for rank in sorted({(n - 1) // 2, n // 2})]
-        for c, n in counts.items() if n
+        c: [RankSearch(c, rank, proposals[c][0]) for rank in sorted({(proposals[c][0] - 1) // 2, proposals[c][0] // 2})]
+        for c in columns if proposals[c][0]
     }
+    near = {c: proposals[c][1:] for c in searches if None not in proposals[c][1:]}
+    home: dict[str, DataFrame] = {}
+    for names in _passes(list(near)):
+        home.update(dict.fromkeys(names, _between(df, names, near, searches)))
     while pending := [s for group in searches.values() for s in group if s.answer is None]:
-        for part in _passes([s for s in pending if s.rows <= ROWS_TO_SORT]):
-            _sort_out(df, part)
-        for part in _passes([s for s in pending if s.rows > ROWS_TO_SORT]):
-            _narrow(df, part)
+        frames: dict[int, tuple[DataFrame, list[RankSearch]]] = {}
+        for s in pending:
+            frame = home[s.column] if s.column in near and s.is_within(*near[s.column]) else df
+            frames.setdefault(id(frame), (frame, []))[1].append(s)
+        for frame, group in frames.values():
+            for part in _passes([s for s in group if s.rows <= ROWS_TO_SORT]):
+                _sort_out(frame, part)
+            for part in _passes([s for s in group if s.rows > ROWS_TO_SORT]):
+                _narrow(frame, part)
     return {
         c: sum(float(s.answer) for s in searches[c]) / len(searches[c]) if c in searches else None
         for c in columns
     }
 
 
+def _between(df: DataFrame, names: list[str], near: dict[str, tuple], searches: dict[str, list[RankSearch]]) -> DataFrame:
+    """Values between the bounds of their column, other values NULL; the searches are narrowed by what is observed on the way."""
+    watched, counts, inside = Observation(), [], []
+    for i, c in enumerate(names):
+        a, b = (F.lit(x).cast(df.schema[c].dataType) for x in near[c])
+        value = col(c)
+        inner = (value > a) & (value < b)
+        counts += [
+            F.count_if(value < a).alias(f"below_{i}"), F.count_if(value == a).alias(f"at_a_{i}"),
+            F.count_if(inner).alias(f"between_{i}"), F.count_if((value == b) & (a != b)).alias(f"at_b_{i}")]
+        inside.append(F.when(inner, value).alias(c))
+    some = df.observe(watched, *counts).select(*inside)
+    kept = materialise(some.filter(reduce(Column.__or__, (col(c).isNotNull() for c in names))), "between")
+    found = watched.get
+    for i, c in enumerate(names):
+        for s in searches[c]:
+            s.narrow(*near[c], *(found[f"{what}_{i}"] for what in ("below", "at_a", "between", "at_b")))
+    return kept
+
+
 def _sort_out(df: DataFrame, searches: list[RankSearch]) -> None:
     picks = (
         F.get(F.sort_array(F.collect_list(s.inside())), F.lit(s.rank)).alias(str(i))
