@@ -49,15 +49,11 @@ def odd_names(spark, sf_dir):
     made = landing.order_files(spark, sf_dir)
 
     def write(path: str) -> None:
-        store = Storage(spark)
-        store.mkdirs(path)
-        for file in store.matches(f"{made}/*.csv"):
+        pairs = []
+        for file in Storage(spark).matches(f"{made}/*.csv"):
             status, number = file.rsplit("/", 1)[1].removesuffix(".csv").split("_")
-            fs, source = arrow_path(file)
-            with fs.open_input_stream(source) as data, fs.open_output_stream(
-                    f"{arrow_path(path)[1]}/{status}_[{number}] {{x}}.csv") as sink:
-                while block := data.read(1 << 20):
-                    sink.write(block)
+            pairs.append((file, f"{path}/{status}_[{number}] {{x}}.csv"))
+        landing.copy_files(spark, pairs)
 
     path = landing.landed(spark, sf_dir, "odd-names", write)
     pattern = r"(?P<o_orderstatus>[A-Z])_\[\d+\] \{x\}\.csv"
@@ -115,12 +111,9 @@ def skip_named(spark, sf_dir):
     made = noted_orders(spark, sf_dir)
 
     def write(path: str) -> None:
-        store = Storage(spark)
-        store.mkdirs(path)
-        for number, file in enumerate(store.matches(f"{made}/status=*/part-*")):
-            fs, source = arrow_path(file)
-            value = file.rsplit("/", 2)[1].split("=", 1)[1]
-            fs.copy_file(source, f"{arrow_path(path)[1]}/{value}_{number:05d}.csv")
+        landing.copy_files(spark, [
+            (file, f"{path}/{file.rsplit('/', 2)[1].split('=', 1)[1]}_{number:05d}.csv")
+            for number, file in enumerate(Storage(spark).matches(f"{made}/status=*/part-*"))])
 
     path = landing.landed(spark, sf_dir, "noted-names", write)
     return plan(spark, TableSpec("orders", f"{path}/*.csv", schema=NAMED, read_options={"skip": 1}, naming_pattern=PATTERN))
@@ -140,15 +133,14 @@ def infer_many_files(spark, sf_dir):
     return plan(spark, TableSpec("orders", path, schema={name: kind for name, (kind, _) in found.items()}))
 
 
-@query("SELECT o_orderkey, o_totalprice, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'")
+@query(
+    "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus AS status FROM orders WHERE o_orderstatus <> 'P'"
+)
 def emptied_partition(spark, sf_dir):
     """A file that a second run finds with a header only takes its partition's rows away."""
     made, root = landing.order_files(spark, sf_dir), scratch_path(spark, "emptied")
     store = Storage(spark)
-    store.mkdirs(f"{root}/landing")
-    for file in store.matches(f"{made}/*.csv"):
-        fs, source = arrow_path(file)
-        fs.copy_file(source, f"{arrow_path(root)[1]}/landing/{file.rsplit('/', 1)[1]}")
+    landing.copy_files(spark, [(file, f"{root}/landing/{file.rsplit('/', 1)[1]}") for file in store.matches(f"{made}/*.csv")])
     data = DatasetSpec.from_dict({"dataset_name": "tpch", "storage": {"root": root}, "tables": [{
         "name": "orders", "path": f"{root}/landing/*.csv", "schema": NAMED, "naming_pattern": PATTERN,
         "partition_by": ["status"], "batch_strategy": "partition_aware"}]})
@@ -158,4 +150,4 @@ def emptied_partition(spark, sf_dir):
         with fs.open_output_stream(target) as sink:
             sink.write((",".join(NAMED) + "\n").encode())
     run(spark, data, skip_summary=True)
-    return read_table(spark, Paths.of(data, data.tables[0]).curated).select("o_orderkey", "o_totalprice", "status")
+    return read_table(spark, Paths.of(data, data.tables[0]).curated).select(*NAMED, "status")

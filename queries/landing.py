@@ -17,14 +17,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.registry import tpch
+from siltstone.functions.user import map_items
 from siltstone.session import scratch_path
 from siltstone.storage import Storage, arrow_path
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple[str, ...], str] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    # the place that writes is part of the key, so equal names elsewhere stay apart
+    key = (spark.sparkContext.applicationId, sf_dir, name, f"{write.__code__.co_filename}:{write.__code__.co_firstlineno}")
     path = _LANDED.get(key)
     if path is None or not Storage(spark).exists(path):
         path = scratch_path(spark, name)
@@ -77,6 +79,28 @@ def name_by_folder(spark, source: str, target: str) -> None:
         store.rename(path, f"{target}/{value}_{number:05d}.csv")
 
 
+def copy_files(spark, pairs: list[tuple[str, str]], first: str = "") -> None:
+    """Copy (source, target) files on the executors, a block at a time, each after the text ``first``."""
+    if not pairs:
+        return
+    named = spark.createDataFrame([f"{source}\n{target}" for source, target in pairs], "string").withColumnRenamed("value", "pair")
+
+    def copy(pair: str) -> int:
+        source, target = pair.split("\n")
+        fs, name = arrow_path(source)
+        made = arrow_path(target)[1]
+        fs.create_dir(made.rsplit("/", 1)[0], recursive=True)
+        with fs.open_input_stream(name, compression=None) as blocks, fs.open_output_stream(made, compression=None) as sink:
+            sink.write(first.encode())
+            while block := blocks.read(1 << 20):
+                sink.write(block)
+            return sink.tell()
+
+    failed = map_items(named, "pair", copy, "bigint", spread=True).filter("error is not null").limit(1).collect()
+    if failed:
+        raise RuntimeError(failed[0]["error"])
+
+
 def order_blocks(spark, sf_dir) -> str:
     """Orders as CSV below ``o_orderstatus=…/block=…``, one file for each pair."""
     orders = tpch(spark, sf_dir, "orders").withColumn("block", F.floor(F.col("o_orderkey") / 5000))

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,19 +132,54 @@ def run_checks(df: DataFrame, config: Mapping[str, Any] | None) -> DataFrame:
     if problems:
         return _fixed(spark, [(None, "config_validation", p, "error", 1, 1) for p in problems])
     flat = normalise(config)
+    measures = _all_measures(df, flat)
+    parts = [_evaluate(df, measures[first:first + CHECKS_PER_PASS]) for first in range(0, len(measures), CHECKS_PER_PASS)]
+    return _together(df, flat, parts)
+
+
+def _all_measures(df: DataFrame, flat: Mapping[str, Any]) -> list[Measure]:
     measures = list(_measures(df, flat))
-    fixed = [*_column_findings(df.columns, flat), *_missing_column_findings(df.columns, flat)]
-    parts = []
     if "min_rows" in flat:
         minimum = flat["min_rows"]
         measures.insert(0, _row_measure("min_rows", minimum, F.count("*") < minimum))
-    for first in range(0, len(measures), CHECKS_PER_PASS):
-        parts.append(_evaluate(df, measures[first:first + CHECKS_PER_PASS]))
-    parts += [_unique(df, c) for c in flat.get("check_unique", []) if c in df.columns]
+    return measures
+
+
+def _together(df: DataFrame, flat: Mapping[str, Any], parts: list[DataFrame]) -> DataFrame:
+    """Findings of counted checks with those of the others, thresholds applied."""
+    fixed = [*_column_findings(df.columns, flat), *_missing_column_findings(df.columns, flat)]
+    parts = parts + [_unique(df, c) for c in flat.get("check_unique", []) if c in df.columns]
     if fixed or not parts:
-        parts.append(_fixed(spark, fixed))
-    findings = reduce(DataFrame.unionByName, parts)
-    return apply_thresholds(findings, flat.get("thresholds"))
+        parts.append(_fixed(df.sparkSession, fixed))
+    return apply_thresholds(reduce(DataFrame.unionByName, parts), flat.get("thresholds"))
+
+
+def watch_checks(df: DataFrame, config: Mapping[str, Any] | None) -> tuple[DataFrame, Callable[[], ValidationResult]]:
+    """``df`` whose checks are counted by the next action on it, and their result, to be asked for after that action.
+
+    So a write and its checks share one pass. The counts are exact where the action runs no shuffle after this point: a lost
+    executor then repeats only what was not counted yet. Uniqueness needs a shuffle of its own and is looked at when the
+    result is asked for.
+    """
+    if config_problems(config):
+        return df, lambda: collect_result(run_checks(df, config))
+    flat = normalise(config)
+    measures, watched = _all_measures(df, flat), df
+    passes = []
+    for first in range(0, len(measures), CHECKS_PER_PASS):
+        some, seen = measures[first:first + CHECKS_PER_PASS], Observation()
+        watched = watched.observe(seen, *_counts(some))
+        passes.append((some, seen))
+
+    def result() -> ValidationResult:
+        parts = []
+        for some, seen in passes:
+            names = [f"{kind}_{i}" for kind in ("failed", "total") for i in range(len(some))]
+            row = tuple(seen.get[n] for n in names)
+            parts.append(_findings(df.sparkSession.createDataFrame([row], ", ".join(f"{n} bigint" for n in names)), some))
+        return collect_result(_together(df, flat, parts))
+
+    return watched, result
 
 
 def apply_thresholds(findings: DataFrame, thresholds: Mapping[str, float] | None) -> DataFrame:
@@ -173,10 +208,17 @@ def _fixed(spark, rows: Iterable[tuple]) -> DataFrame:
 
 def _evaluate(df: DataFrame, measures: list[Measure]) -> DataFrame:
     """One pass over the data for all measures, then one row per failed one."""
-    counts = df.agg(
+    return _findings(df.agg(*_counts(measures)), measures)
+
+
+def _counts(measures: list[Measure]) -> list[Column]:
+    return [
         *(m.failed.cast("bigint").alias(f"failed_{i}") for i, m in enumerate(measures)),
         *(m.total.cast("bigint").alias(f"total_{i}") for i, m in enumerate(measures)),
-    )
+    ]
+
+
+def _findings(counts: DataFrame, measures: list[Measure]) -> DataFrame:
     rows = [
         F.struct(
             F.lit(m.column).cast("string").alias("column"),

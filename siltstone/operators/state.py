@@ -34,6 +34,8 @@ KEY = ["kind", "table_name", "file_key"]
 # Larger files are hashed by streaming; smaller ones are hashed inside the JVM.
 BYTES_IN_ONE_ROW = 64 << 20
 BLOCK = 4 << 20
+# Files of the state table above which a run leaves only the latest rows.
+FILES_BEFORE_COMPACTION = 200
 
 
 def latest_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -164,6 +166,13 @@ class StateTable:
     def list_tables(self) -> DataFrame:
         return roll_up(self.latest("file"))
 
+    def compact_when_long(self, most: int = FILES_BEFORE_COMPACTION) -> bool:
+        """Compact after many commits, so that reading the state does not grow with the number of runs."""
+        if len(Storage(self.spark).matches(f"{self.path}/part-*")) <= most:
+            return False
+        self.compact()
+        return True
+
     def compact(self) -> None:
         """Rewrite the table with the latest rows only."""
         from siltstone.operators.sinks import publish

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siltstone.functions.text import col, group_names
 from siltstone.functions.user import apply_transforms
 from siltstone.operators.batches import combined_hash, partition_batches, unmatched, with_partition_values
-from siltstone.operators.checks import ValidationResult, collect_result, run_checks
+from siltstone.operators.checks import ValidationResult, collect_result, run_checks, watch_checks
 from siltstone.operators.enforce import enforce_types
 from siltstone.operators.infer import discover_schema, schema_rows
 from siltstone.operators.profile import describe_columns, profile_columns, report_rows
@@ -30,10 +30,11 @@ from siltstone.operators.sinks import (
 from siltstone.operators.state import StateTable, fast_fingerprints, full_fingerprints, pending, valid_extractions
 from siltstone.plans.tables import expand, inventory, made_paths, plan, resolve_inputs
 from siltstone.session import materialise
+from siltstone.sources.archives import folder_name
 from siltstone.sources.files import list_files, literal
 from siltstone.sources.structured import read_table
 from siltstone.spec import DatasetSpec, TableSpec
-from siltstone.storage import Storage
+from siltstone.storage import Storage, file_name
 
 
 class RunError(RuntimeError):
@@ -108,6 +109,7 @@ def run(spark: SparkSession, data: DatasetSpec, skip_summary: bool = False) -> l
                 outcomes.append(_guarded(spark, data, table))
         except Exception as exc:  # the listing itself failed
             outcomes.append(Outcome(declared.name, "failed", error=str(exc)))
+    StateTable(spark, data.state).compact_when_long()
     if not skip_summary:
         done = {o.table for o in outcomes if o.status == "success"}
         summarize(spark, data, only=done)
@@ -143,6 +145,9 @@ def run_table(spark: SparkSession, data: DatasetSpec, table: TableSpec) -> Outco
                 return Outcome(table.name, "skipped", warnings=warnings)
         elif table.write_mode == "append":
             inputs = _paths(todo) if inputs == table.paths else _unread(spark, data, table, todo)
+            if not inputs:  # archives without a member to read
+                state.commit(todo, table.name, "success", details={"dataset": data.name}, run_id=run_id)
+                return Outcome(table.name, "success", todo.count(), warnings)
         result = _build(spark, data, table, inputs, touched)
     except Exception as exc:
         state.commit(todo, table.name, "failed", details={"error": str(exc)}, run_id=run_id)
@@ -171,8 +176,12 @@ def _stray_files(table: TableSpec, declared: DataFrame) -> tuple[str, ...]:
 
 
 def _unread(spark: SparkSession, data: DatasetSpec, table: TableSpec, todo: DataFrame) -> list[str]:
-    """What an append reads of archives or preprocessed files: those whose sources are pending, made anew."""
+    """What an append reads of archives or preprocessed files: the folders of pending archives, which are unpacked already, or
+    the results of pending files, made anew."""
     sources = _paths(todo)
+    if table.archives:
+        folders = [f"{_archive_target(data, table)}/{folder_name(r['path'])}" for r in todo.select("path").collect()]
+        return [folder for folder in sorted(folders) if Storage(spark).exists(folder)]
     target = f"{data.raw}/appended/{table.name}-{uuid.uuid4().hex[:12]}"
     return resolve_inputs(spark, table, target, sources)
 
@@ -193,17 +202,18 @@ def _inputs(
 ) -> list[str]:
     """Paths to read. What was unpacked or preprocessed before is used again while its sources
     are the same."""
-    if not table.archives and not table.preprocess:
+    if table.archives:
+        return _unpacked(spark, data, table, state, declared)
+    if not table.preprocess:
         return table.paths
-    kind = "archive" if table.archives else "preprocess"
-    target = f"{data.raw}/{kind}/{table.name}"
+    kind, target = "preprocess", f"{data.raw}/preprocess/{table.name}"
     known = valid_extractions(declared, state.latest(kind, table.name), kind)
     fresh = declared.join(known.select("file_key"), "file_key", "left_anti").isEmpty()
     store = Storage(spark)
     if fresh and store.exists(target):
         return made_paths(table, target)
     if store.exists(target):
-        # members of an archive that changed must not stay beside the new ones
+        # results of a file that changed must not stay beside the new ones
         store.delete(target)
     paths = resolve_inputs(spark, table, target)
     if paths == made_paths(table, target):
@@ -211,6 +221,34 @@ def _inputs(
     return paths
 
 
+def _archive_target(data: DatasetSpec, table: TableSpec) -> str:
+    return f"{data.raw}/archive/{table.name}"
+
+
+def _unpacked(
+    spark: SparkSession, data: DatasetSpec, table: TableSpec, state: StateTable, declared: DataFrame
+) -> list[str]:
+    """The folder of unpacked members, with one folder and one record per archive.
+
+    Only archives that are new or have changed are unpacked; folders of archives that changed or are gone are removed
+    before. The driver lists archives, as it does for every reader, never their members.
+    """
+    target, store = _archive_target(data, table), Storage(spark)
+    known = valid_extractions(declared, state.latest("archive", table.name), "archive")
+    known = known.filter(F.col("details")["target"] == target).select("file_key")
+    fresh = materialise(declared.join(known, "file_key", "left_anti") if store.exists(target) else declared, "archives")
+    sources = [r["path"] for r in fresh.select("path").collect()]
+    if store.exists(target):
+        kept = {folder_name(r["path"]) for r in declared.join(known, "file_key").select("path").collect()}
+        for folder in store.matches(f"{target}/*"):
+            if file_name(folder) not in kept:
+                store.delete(folder)
+    if sources:
+        resolve_inputs(spark, table, target, [literal(s) for s in sources] if len(sources) < declared.count() else None)
+        state.commit(fresh, table.name, "success", kind="archive", details={"target": target})
+    return [target]
+
+
 def _touched_partitions(
     spark: SparkSession, table: TableSpec, todo: DataFrame, declared: DataFrame, inputs: list[str]
 ) -> tuple[DataFrame, list[str], DataFrame | None]:
@@ -270,12 +308,32 @@ def _build(
         layout = dataclasses.replace(layout, partition_by=_written_keys(frame, options))
         _replace(spark, frame, paths.transformed, layout, touched)
         frame = _only(_reread(spark, data, paths.transformed), touched)
+    if table.output_layer == "curated" and touched is None and not layout.gather and layout.output_format != "delta":
+        return _publish_checked(spark, frame, table, paths.curated, layout)
     result = _validated(frame, table)
     if table.output_layer == "curated":
         _replace(spark, _typed(frame, table), paths.curated, layout, touched)
     return result
 
 
+def _publish_checked(
+    spark: SparkSession, frame: DataFrame, table: TableSpec, path: str, layout: WriteOptions
+) -> ValidationResult:
+    """Write the curated layer beside the old one and check the same rows on the way; only what passes is swapped in.
+
+    A write that gathers rows by a shuffle is checked ahead, because the counts have to be taken behind the last shuffle.
+    """
+    watched, found = watch_checks(frame, table.validations)
+    results = []
+
+    def write(target: str) -> None:
+        write_table(_typed(watched, table), target, layout)
+        results.append(_passed(found(), table))
+
+    publish(spark, path, write)
+    return results[0]
+
+
 def _append(spark: SparkSession, data: DatasetSpec, table: TableSpec, frame: DataFrame) -> ValidationResult:
     """Add new rows to every layer; what is there already is neither read nor rewritten.
 
@@ -304,7 +362,10 @@ def _written_keys(frame: DataFrame, options: WriteOptions) -> tuple[str, ...]:
 
 
 def _validated(frame: DataFrame, table: TableSpec) -> ValidationResult:
-    result = collect_result(run_checks(frame, table.validations))
+    return _passed(collect_result(run_checks(frame, table.validations)), table)
+
+
+def _passed(result: ValidationResult, table: TableSpec) -> ValidationResult:
     if not result.passed:
         raise ValidationFailed(table.name, result)
     return result

@@ -19,7 +19,7 @@ from siltstone.sources.files import list_files, literal
 from siltstone.sources.fixed_width import scan_fixed_width
 from siltstone.sources.structured import scan_json, scan_parquet
 from siltstone.spec import MEMBER_GLOBS, TableSpec
-from siltstone.storage import file_name
+from siltstone.storage import Storage, file_name
 
 
 def scan(spark: SparkSession, table: TableSpec, paths: Iterable[str] | None = None, guard: str = "before") -> DataFrame:
@@ -70,7 +70,7 @@ def resolve_inputs(
         target = scratch or scratch_path(spark, f"unpacked-{table.name}")
         members = unpack(archive_files(spark, sources or table.archive_paths), target, table.files)
         # counting runs the copies; the list of members stays on the executors
-        if not members.count():
+        if not members.count() and not (sources and Storage(spark).exists(target)):
             raise ValueError(f"table '{table.name}': no member matches '{table.files}'")
         return [target]
     if table.preprocess:
@@ -80,17 +80,17 @@ def resolve_inputs(
 
 
 def preprocess_files(spark: SparkSession, table: TableSpec, target: str, sources: list[str] | None = None) -> list[str]:
-    """Run the table's function on every file, on executors: ``fn(path, output_folder)``.
+    """Run the table's function on every file, on executors: ``fn(path, output_folder, **preprocess_options)``.
 
     It returns the path it made. Results below the output folder are read by the
     format's extension; any failed file fails the table.
     """
-    fn = table.preprocess
+    fn, options = table.preprocess, dict(table.preprocess_options)
 
     def one(path: str) -> str:
         name = posixpath.splitext(file_name(path))[0]
         plain = path.removeprefix("file:")
-        return str(fn(plain, f"{target.removeprefix('file:')}/{name}"))
+        return str(fn(plain, f"{target.removeprefix('file:')}/{name}", **options))
 
     files = list_files(spark, sources or table.paths)
     # written once, so that looking at the results does not run the function again

@@ -24,15 +24,20 @@ from siltstone.sources.files import list_files
 from siltstone.storage import arrow_path, file_name
 
 BLOCK = 8 << 20
+# Fixed value: bytes of a zip archive without members, which is its closing record alone.
+EMPTY_ZIP = 22
 
 MEMBERS = "archive string, member string, whole boolean"
 UNPACKED = "archive string, member string, path string, length long"
 
 
 def glob_regex(pattern: str) -> str:
-    """A member glob as a regular expression; ``**/`` also matches no folder at all."""
+    """A glob as a regular expression; ``**/`` also matches no folder at all, ``{a,b}`` either."""
     out = ""
-    for token in re.findall(r"\*\*/|\*\*|\*|\?|\[[^\]]*\]|[^*?\[]+|\[", pattern):
+    for token in re.findall(r"\*\*/|\*\*|\*|\?|\[[^\]]*\]|\{[^{}]*\}|[^*?\[{]+|\[|\{", pattern):
+        if token.startswith("{") and token.endswith("}"):
+            out += "(?:" + "|".join(glob_regex(part)[1:-1] for part in token[1:-1].split(",")) + ")"
+            continue
         out += {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]"}.get(token) or (
             token if token.startswith("[") and token.endswith("]") else re.escape(token)
         )
@@ -66,6 +71,8 @@ def list_members(archives: DataFrame) -> DataFrame:
                     rows.append((archive, None, True))
                     continue
                 fs, name = arrow_path(archive)
+                if fs.get_file_info(name).size <= EMPTY_ZIP:
+                    continue
                 with fs.open_input_file(name) as handle, zipfile.ZipFile(handle) as content:
                     rows += [(archive, i.filename, False) for i in content.infolist() if not i.is_dir()]
             yield pd.DataFrame(rows, columns=["archive", "member", "whole"])
@@ -96,7 +103,7 @@ def unpack(archives: DataFrame, target: str, pattern: str = "**/*") -> DataFrame
 
 def _copy(archive: str, member: str | None, target: str, wanted: str) -> list[tuple]:
     fs, name = arrow_path(archive)
-    folder = f"{target}/{_folder(archive)}"
+    folder = f"{target}/{folder_name(archive)}"
     kind = kind_of(archive)
     if kind == "zip":
         with fs.open_input_file(name) as handle, zipfile.ZipFile(handle) as content, content.open(member) as source:
@@ -117,7 +124,7 @@ def _copy(archive: str, member: str | None, target: str, wanted: str) -> list[tu
     return rows
 
 
-def _folder(archive: str) -> str:
+def folder_name(archive: str) -> str:
     """A folder name per archive path: readable, and distinct for equal names elsewhere."""
     import hashlib
 

@@ -208,7 +208,18 @@ def _read_skipping(
         reader = reader.option("pathGlobFilter", name_filter)
     if base:
         reader = reader.option("basePath", base)
-    lines = reader.text(targets)
+    parsed = parse_after(reader.text(targets), columns, opts, drop)
+    return infer_text(parsed, columns) if infer else parsed
+
+
+def parse_after(
+    lines: DataFrame, columns: Iterable[str], opts: DelimitedOptions, drop: int, header: Iterable[str] | None = None
+) -> DataFrame:
+    """Columns of text lines, batch or stream, after the first ``drop`` lines of each file.
+
+    With ``header``, the last of these lines has to name exactly these columns, else the task fails.
+    """
+    columns, expected = list(columns), None if header is None else list(header)
     folders = [c for c in lines.columns if c != "value"]
     lines = lines.select(
         "value", *(col(c) for c in folders), F.col("_metadata.file_name").alias(FILE_NAME),
@@ -227,14 +238,17 @@ def _read_skipping(
             if (batch.column("__path")[0].as_py(), block[0]) == last:
                 line[: starts[1] if len(starts) > 1 else len(line)] += seen
             last, seen = (batch.column("__path")[-1].as_py(), block[-1]), int(line[-1]) + 1
+            for at in np.flatnonzero((block == 0) & (line == drop - 1)) if expected is not None else ():
+                found = opts.split_header(batch.column("value")[int(at)].as_py().removeprefix("\ufeff"))
+                if found != expected:
+                    raise ValueError(f"{batch.column('__path')[int(at)]}: header {found} instead of {expected}")
             yield batch.filter(pa.array((block > 0) | (line >= drop))).select(kept_names)
 
     kept_names = ["value", *folders, FILE_NAME]
     kept = lines.mapInArrow(run, lines.select(*(col(c) for c in kept_names)).schema).filter(F.trim("value") != "")
     ddl = ", ".join(f"{quoted(c)} STRING" for c in columns)
     parsed = kept.withColumn("value", F.from_csv("value", ddl, dict(opts.spark)))
-    parsed = parsed.select("value.*", *(col(c) for c in folders), FILE_NAME)
-    return infer_text(parsed, columns) if infer else parsed
+    return parsed.select("value.*", *(col(c) for c in folders), FILE_NAME)
 
 
 def infer_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -65,7 +65,7 @@ def read_target(spark: SparkSession, paths: Iterable[str]) -> tuple[list[str], s
 def _depths(spark: SparkSession, folder: str, rest: str) -> list[str]:
     """Globs without ``**`` that match the same files; the deepest file comes from a distributed listing."""
     if "**" in rest:
-        raise ValueError(f"a path may hold ** once: {folder}/**/{rest}")
+        return _matching(spark, folder, f"**/{rest}")
     store = Storage(spark)
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -76,6 +76,19 @@ def _depths(spark: SparkSession, folder: str, rest: str) -> list[str]:
     return [g for g in globs if store.matches(g)] or globs[:1]
 
 
+def _matching(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Files below ``folder`` that a pattern with several ``**`` matches; the listing and the test are distributed.
+
+    Only paths that match come to the driver, which is what a reader is given. A path that matches nothing is kept as
+    one that no file has, so that the reader reports it.
+    """
+    from siltstone.sources.archives import glob_regex
+
+    root = Storage(spark).qualified(folder).rstrip("/")
+    found = list_files(spark, [folder]).filter(F.substring("path", len(root) + 2, 1 << 20).rlike(glob_regex(pattern)))
+    return sorted(literal(r["path"]) for r in found.select("path").collect()) or [f"{folder}/{pattern.replace('**/', '').replace('**', '*')}"]
+
+
 def list_files(spark: SparkSession, paths: Iterable[str], recursive: bool = True) -> DataFrame:
     """(path, file_name, length, modified): attributes only, contents are never read."""
     targets, name_filter = read_target(spark, paths)

@@ -31,6 +31,10 @@ TARGET_FILE_SIZE_MB = 128
 TARGET_ROWS = 500_000
 
 
+# Keys of a preprocess step that are not options of its function.
+STEP_KEYS = ("action", "scope", "execution_mode", "include", "resources")
+
+
 class SpecError(ValueError):
     """All problems of a declaration at once."""
 
@@ -168,7 +172,8 @@ class TableSpec:
     type_enforcement: Mapping[str, Any] = field(default_factory=dict)
     validations: Mapping[str, Any] = field(default_factory=dict)
     transform: Callable | None = None
-    preprocess: Callable[[str, str], str] | None = None
+    preprocess: Callable[..., str] | None = None
+    preprocess_options: Mapping[str, Any] = field(default_factory=dict)
     write_mode: str = "overwrite"
     output_layer: str = "curated"
     batch_strategy: str = "bulk"
@@ -310,6 +315,9 @@ def _renamed(raw: Mapping[str, Any]) -> dict[str, Any]:
             out.update(archives=out.pop("path", None), files=f"**/{members}")
         elif callable(action):
             out["preprocess"] = action
+            more = {k: v for k, v in step.items() if k not in STEP_KEYS}
+            if more:
+                out["preprocess_options"] = {**more, **out.get("preprocess_options", {})}
         elif action:
             raise SpecError([f"table '{out.get('name')}': preprocess action must be 'unzip' or a function, not {action!r}"])
     if isinstance(out.get("transform"), str):

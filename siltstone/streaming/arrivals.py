@@ -17,7 +17,8 @@ from siltstone.functions.text import col, text_slice
 from siltstone.functions.types import parse_type
 from siltstone.operators.align import GUARD_PREFIX, align, guard_extra_columns, with_file_groups, with_literals
 from siltstone.operators.sinks import WriteOptions
-from siltstone.sources.delimited import DelimitedOptions
+from siltstone.sources.delimited import DelimitedOptions, parse_after
+from siltstone.sources.files import split_pattern
 from siltstone.sources.fixed_width import guarded_line, select_records
 from siltstone.spec import TableSpec
 
@@ -32,6 +33,11 @@ def read_arrivals(spark: SparkSession, table: TableSpec, files_per_batch: int =
 
 def _arrivals(spark: SparkSession, table: TableSpec, path: str, files_per_batch: int) -> DataFrame:
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true")
+    path, rest = split_pattern(path)
+    if rest:
+        if "/" in rest or "**" in rest:
+            raise ValueError(f"table '{table.name}': in a stream, ** is followed by a file name only, not by {rest}")
+        reader = reader.option("pathGlobFilter", rest)
     if table.format == "fixed_width":
         lines = select_records(reader.text(path), table.fixed_width)
         line = guarded_line(col("value"), table.fixed_width.line_length)
@@ -43,6 +49,10 @@ def _arrivals(spark: SparkSession, table: TableSpec, path: str, files_per_batch:
         opts = DelimitedOptions.of(table.read_options, table.format != "csv")
         names = T.StructType([T.StructField(n, T.StringType()) for n in table.schema])
         # a file whose header differs from the declaration stops the stream
+        if opts.skip:
+            drop = opts.skip + opts.header
+            df = parse_after(reader.text(path), table.schema, opts, drop, table.schema if opts.header else None)
+            return align(with_literals(with_file_groups(df, table.naming_pattern), table.metadata), table.schema, table.preserved)
         reader = reader.schema(names).options(**opts.spark).option("header", opts.header).option("enforceSchema", "false")
         df = reader.csv(path)
     else:

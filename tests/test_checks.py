@@ -1,7 +1,14 @@
 import pytest
 from conftest import rows
 
-from siltstone.operators.checks import ValidationResult, collect_result, config_problems, normalise, run_checks
+from siltstone.operators.checks import (
+    ValidationResult,
+    collect_result,
+    config_problems,
+    normalise,
+    run_checks,
+    watch_checks,
+)
 
 
 @pytest.fixture(scope="module")
@@ -106,3 +113,17 @@ def test_bad_configuration_is_a_finding(spark, config, words):
 def test_legacy_levels():
     assert normalise({"level1": {"min_rows": 3}, "level2": {"check_nulls": ["a"]}}) == {"min_rows": 3, "check_nulls": ["a"]}
     assert normalise(None) == {}
+
+
+def test_watched_checks_equal_a_pass_of_their_own(spark, tmp_path):
+    df = spark.createDataFrame([(n, f"K{n % 7}", None if n % 5 else n / 2.0) for n in range(50)], "no int, code string, part double")
+    rules = [
+        {"min_rows": 60}, {"max_rows": 10}, {"check_nulls": ["part"]}, {"check_range": {"no": {"min": 3, "max": 40}}},
+        {"check_values": {"code": ["K1", "K2"]}}, {"check_pattern": {"code": r"K[0-5]"}}, {"check_unique": ["code"]},
+        {"expected_columns": ["no", "gone"]}, {"check_nulls": ["gone"]}, {}, None, {"no_such_check": 1},
+        {"check_nulls": ["part"], "thresholds": {"check_nulls": 0.9}, "min_rows": 1, "check_unique": ["no"]}]
+    for n, rule in enumerate(rules):
+        watched, found = watch_checks(df, rule)
+        watched.write.parquet(str(tmp_path / str(n)))
+        alone, ridden = collect_result(run_checks(df, rule)), found()
+        assert (ridden.passed, ridden.errors, ridden.warnings) == (alone.passed, alone.errors, alone.warnings), rule

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 
 from siltstone.functions.user import TableTransform, apply_transforms, map_items
+from pyspark.sql import functions as F
 from siltstone.operators.state import StateTable
 from siltstone.plans.jobs import (
     Paths,
@@ -329,3 +330,67 @@ def test_command_line(spark, put, tmp_path, monkeypatch, capsys):
         monkeypatch.setattr("sys.argv", ["siltstone", *arguments])
         main()
         assert words in capsys.readouterr().out
+
+
+def test_checks_ride_in_the_write_of_the_curated_layer(spark, put, tmp_path):
+    path = put("KX-11.csv", "no,code\n" + "".join(f"{i},K{i % 9}\n" for i in range(300)))
+    table = {"name": "t", "path": path, "schema": {"no": "INT", "code": "STRING"}}
+    data = dataset(tmp_path, {**table, "validations": {"min_rows": 300, "check_nulls": ["no"]}})
+    run(spark, data, skip_summary=True)
+    before = curated(spark, data).count()
+    put("KX-11.csv", "no,code\n1,K1\n,K2\n")
+    with pytest.raises(RunError, match="t -- "):
+        run(spark, data, skip_summary=True)
+    assert before == 300 and curated(spark, data).count() == 300  # what failed was not swapped in
+    put("KX-11.csv", "no,code\n" + "".join(f"{i},K\n" for i in range(400)))
+    run(spark, data, skip_summary=True)
+    assert curated(spark, data).count() == 400
+
+
+def test_one_archive_is_unpacked_alone(spark, tmp_path):
+    import zipfile
+
+    def pack(name, **members):
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        with zipfile.ZipFile(tmp_path / "raw" / name, "w") as out:
+            for member, text in members.items():
+                out.writestr(f"{member}.csv", text)
+
+    def unpacked():
+        return {os.path.relpath(os.path.join(d, f), f"{data.raw}/archive/t"): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, fs in os.walk(f"{data.raw}/archive/t") for f in fs if f.endswith(".csv")}
+
+    for mode in ("overwrite", "append"):
+        pack("KX-11.zip", a="id\n1\n")
+        pack("KX-12.zip", b="id\n2\n")
+        data = dataset(tmp_path / mode, {
+            "name": "t", "archives": str(tmp_path / "raw/*.zip"), "files": "**/*.csv", "schema": {"id": "INT"}, "write_mode": mode})
+        run(spark, data, skip_summary=True)
+        first = unpacked()
+        pack("KX-12.zip", c="id\n20\n")
+        pack("KX-13.zip", d="id\n3\n")
+        run(spark, data, skip_summary=True)
+        second = unpacked()
+        assert sorted(os.path.basename(f) for f in second) == ["a.csv", "c.csv", "d.csv"]
+        assert {f: t for f, t in second.items() if f.endswith("a.csv")} == {f: t for f, t in first.items() if f.endswith("a.csv")}
+        got = sorted(r["id"] for r in rows(curated(spark, data)))
+        assert got == ([1, 3, 20] if mode == "overwrite" else [1, 2, 3, 20])
+        os.remove(tmp_path / "raw/KX-11.zip")
+        pack("KX-14.zip")  # nothing to read in it
+        run(spark, data, skip_summary=True)
+        assert sorted(os.path.basename(f) for f in unpacked()) == ["c.csv", "d.csv"]
+        records = StateTable(spark, data.state).rows().filter("kind = 'archive'").groupBy("file_key").count().collect()
+        assert {r["file_key"].rsplit("/", 1)[-1]: r["count"] for r in records} == {
+            "KX-11.zip": 1, "KX-12.zip": 2, "KX-13.zip": 1, "KX-14.zip": 1}
+        (tmp_path / "raw/KX-13.zip").unlink()
+        (tmp_path / "raw/KX-14.zip").unlink()
+
+
+def test_a_long_state_is_compacted(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path / "state"))
+    files = spark.createDataFrame([("KX-11", "a"), ("KX-12", "b")], "file_key string, fingerprint string")
+    for n in range(6):
+        state.commit(files.withColumn("fingerprint", F.lit(str(n))), "t", "success")
+    latest = sorted(map(tuple, state.latest().collect()))
+    assert not state.compact_when_long(100) and state.compact_when_long(3)
+    assert sorted(map(tuple, state.latest().collect())) == latest and state.rows().count() == 2

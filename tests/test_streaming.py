@@ -50,3 +50,23 @@ def test_every_path_arrives_and_undeclared_fields_stop_the_stream(spark, put, tm
     put("two/c.json", '{"id": 4, "w": 1}\n')
     with pytest.raises(Exception, match="undeclared fields w"):
         append_arrivals(spark, spec, str(tmp_path / "out"), str(tmp_path / "log")).awaitTermination()
+
+
+def test_skipped_lines_and_deep_folders(spark, put, tmp_path):
+    put("in/KX-11.csv", "a note\nid,v\n1,x\n2,y\n")
+    put("in/deep/er/KX-12.csv", "a note\nid,v\n3,z\n")
+    put("in/deep/other.txt", "not,read\n")
+    spec = TableSpec("t", f"{tmp_path}/in/**/KX-*.csv", schema={"id": "INT", "v": "STRING"}, read_options={"skip": 1},
+                     naming_pattern=r"KX-(?P<number>\d+)\.csv")
+    out, log = str(tmp_path / "out"), str(tmp_path / "log")
+    for more in (None, "a note\nid,v\n4,w\n", "\nid,v\n"):
+        if more:
+            put(f"in/KX-{20 + len(more)}.csv", more)
+        append_arrivals(spark, spec, out, log).awaitTermination()
+    got = sorted((r["id"], r["v"], r["number"]) for r in spark.read.parquet(out).collect())
+    assert got == [(1, "x", "11"), (2, "y", "11"), (3, "z", "12"), (4, "w", "36")]
+    put("in/KX-77.csv", "a note\nv,id\n5,q\n")
+    with pytest.raises(Exception, match="header"):
+        append_arrivals(spark, spec, out, log).awaitTermination()
+    with pytest.raises(ValueError, match="file name only"):
+        append_arrivals(spark, TableSpec("t", f"{tmp_path}/**/in/*.csv", schema={"id": "INT"}), out, log + "2")
