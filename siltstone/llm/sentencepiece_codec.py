@@ -8,7 +8,7 @@ different ways while the same seed always gives the same pieces. Without dropout
 
 No piece of such a vocabulary holds a letter before a space sign, so no merge crosses the start of a run
 of spaces: text falls into independent units there, which are encoded together as array operations: each distinct
-unit once without dropout, and again the occurrences whose stream drops one of the candidates met on the way.
+unit once without dropout, and again the occurrences whose stream drops one of the merges made on the way.
 Units beyond LONG letters go through a heap instead, in n log n steps.
 """
 
@@ -29,7 +29,9 @@ SPACE, LITERAL = 0x2581, 0x110000
 #: Production parameters; a number of streams limits the segmentations of a unit under one seed, None does not.
 DROPOUT, SEED, STREAMS = 0.1, 17, None
 #: Letters of a unit above which the heap is used, and code points that are encoded at a time.
-LONG, SLICE = 96, 600_000
+LONG, SLICE = 96, 1_000_000
+#: Symbols of units of one length that go through the agenda together.
+AGENDA = 100_000
 
 _NONE = np.int64(1) << np.int64(40)
 
@@ -121,7 +123,7 @@ def _skipped(key: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float
 def _agenda_short(v, ids, keys, dropout, met=None):
     """Pieces of units of equal length, one per row of ``ids``: (row, place, piece) arrays in order.
 
-    ``met`` takes (row, start, end) arrays of all candidates.
+    ``met`` takes (row, start, end) arrays of all merges that are made.
     """
     n, length = ids.shape
     rows = np.arange(n)
@@ -132,8 +134,6 @@ def _agenda_short(v, ids, keys, dropout, met=None):
         piece = _merge(v, ids[:, :-1], ids[:, 1:])
         order = np.where(piece >= 0, v.rank[piece], _NONE)
         at = np.nonzero(piece >= 0)
-        if met is not None:
-            met.append((at[0], starts[at[0], at[1]], starts[at[0], at[1] + 2]))
         if dropout > 0:
             drop = _skipped(keys[at[0]], starts[at[0], at[1]], starts[at[0], at[1] + 2], dropout)
             order[at[0][drop], at[1][drop]] = _NONE
@@ -151,6 +151,8 @@ def _agenda_short(v, ids, keys, dropout, met=None):
             piece, order, line = piece[going], order[going], np.arange(int(going.sum()))
             if not len(ids):
                 break
+        if met is not None:
+            met.append((rows, starts[line, best], starts[line, best + 2]))
         ids[line, best] = piece[line, best]
         width = ids.shape[1]
         take = np.arange(width - 1) + (np.arange(width - 1) > best[:, None])
@@ -165,9 +167,6 @@ def _agenda_short(v, ids, keys, dropout, met=None):
                 place = side[at]
                 new = _merge(v, ids[at, place], ids[at, place + 1])
                 value = np.where(new >= 0, v.rank[new], _NONE)
-                if met is not None:
-                    some = new >= 0
-                    met.append((rows[at[some]], starts[at[some], place[some]], starts[at[some], place[some] + 2]))
                 if dropout > 0:
                     value[_skipped(keys[at], starts[at, place], starts[at, place + 2], dropout)] = _NONE
                 piece[at, place], order[at, place] = new, value
@@ -277,7 +276,7 @@ def _encode_slice(
                     out_ids.append(got)
                     out_unit.append(np.full(len(got), first + u))
                 continue
-            step = max(1, 400_000 // int(size))
+            step = max(1, AGENDA // int(size))
             for cut in range(0, len(mine), step):
                 some = mine[cut: cut + step]
                 ids = v.first[codes[unit_at[units[some]][:, None] + np.arange(size)]]
@@ -297,7 +296,7 @@ def _encode_slice(
     if dropout > 0:
         again = lengths > LONG
         if met:
-            # the same candidates come up under dropout until one of them is dropped
+            # the same merges are made under dropout until one of them is dropped; candidates that are not made do not matter
             kind, start, end = (np.concatenate(x) for x in zip(*met))
             order = np.argsort(kind, kind="stable")
             start, end = start[order], end[order]
