@@ -33,7 +33,7 @@ LONG, SLICE = 96, 1_000_000
 #: Symbols of units of one length that go through the agenda together.
 AGENDA = 100_000
 
-_NONE = np.int64(1) << np.int64(40)
+_NONE = np.int32(1 << 30)
 
 
 @dataclass
@@ -71,7 +71,7 @@ def read_vocabulary(path: str) -> Vocabulary:
         raise ValueError("the model has no byte pieces, so it cannot decode without loss")
     if any(re.search(f"[^{chr(SPACE)}]{chr(SPACE)}", piece) for piece in ids):
         raise ValueError("pieces hold a space sign after a letter: units are not independent")
-    first = np.arange(LITERAL + 1, dtype=np.int64) + size
+    first = np.arange(LITERAL + 1, dtype=np.int32) + np.int32(size)
     for piece, i in ids.items():
         if len(piece) == 1:
             first[ord(piece)] = i
@@ -82,14 +82,14 @@ def read_vocabulary(path: str) -> Vocabulary:
             if left is not None and right is not None:
                 pairs[left << 32 | right] = i
     keys = np.full(1 << max(4, (4 * len(pairs)).bit_length()), -1, np.int64)
-    merged = np.zeros(len(keys), np.int64)
+    merged = np.zeros(len(keys), np.int32)
     wanted = np.fromiter(pairs, np.int64, len(pairs))
     for key, slot in zip(wanted.tolist(), _slots(wanted, len(keys)).tolist()):
         while keys[slot] >= 0:
             slot = (slot + 1) & (len(keys) - 1)
         keys[slot], merged[slot] = key, pairs[key]
     scores = np.array([model.get_score(i) for i in range(size)])
-    rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
+    rank = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
     at = np.append(0, np.cumsum([len(x) for x in raw])).astype(np.int64)
     return Vocabulary(first, keys, merged, rank, byte, np.frombuffer(b"".join(raw), np.uint8), at, size)
 
@@ -100,10 +100,10 @@ def _slots(keys: np.ndarray, n: int) -> np.ndarray:
 
 def _merge(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Piece of two neighbours, -1 if they make none."""
-    flat = (left << np.int64(32) | right).ravel()
+    flat = (left.astype(np.int64) << np.int64(32) | right).ravel()
     known = (left.ravel() < v.size) & (right.ravel() < v.size)
     slot = _slots(flat, len(v.keys))
-    out = np.full(len(flat), -1, np.int64)
+    out = np.full(len(flat), -1, np.int32)
     open_ = np.flatnonzero(known)
     while len(open_):
         found = v.keys[slot[open_]]
@@ -127,7 +127,7 @@ def _agenda_short(v, ids, keys, dropout, met=None):
     """
     n, length = ids.shape
     rows = np.arange(n)
-    starts = np.broadcast_to(np.arange(length + 1), (n, length + 1)).copy()  # start of each symbol, then the end
+    starts = np.broadcast_to(np.arange(length + 1, dtype=np.int32), (n, length + 1)).copy()  # start of each symbol, then the end
     done = []
 
     def ranked(ids, starts, keys):
