@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from conftest import rows
 
@@ -11,49 +13,71 @@ from siltstone.operators.checks import (
 )
 
 
+# Readings of stations by rule: every expectation below is counted from these rows in plain Python.
+READINGS = [
+    (n if n % 11 else None, ("north", "south", "depot")[n % 3] if n % 7 else None, n * 0.75 - 20 if n % 5 else None,
+     f"Q{n % 4}-{n:03d}" if n % 9 else f"x{n}", n % 13 == 0)
+    for n in range(1, 121)]
+NAMES = ("serial", "station", "level", "tag", "spare")
+
+
 @pytest.fixture(scope="module")
-def people(spark):
-    return spark.createDataFrame(
-        [(1, 2020, "CT", 25, "09001"), (2, 1850, "ZZ", -5, "9001"), (None, 2099, "CT", 150, "AB09001"), (4, None, None, None, None)],
-        "person_id int, year int, state string, age int, fips string",
-    )
+def readings(spark):
+    return spark.createDataFrame(READINGS, "serial int, station string, level double, tag string, spare boolean")
+
+
+def broken(name, test):
+    """(failures, values looked at) of a column by a plain test."""
+    values = [r[NAMES.index(name)] for r in READINGS]
+    values = [v for v in values if v is not None]
+    return sum(not test(v) for v in values), len(values)
 
 
 def found(df, config):
     return [(r["column"], r["check"], r["severity"], r["failed_count"], r["total_count"]) for r in rows(run_checks(df, config), "check", "column")]
 
 
-def test_all_pass(spark, people):
-    assert found(people, {"min_rows": 4, "max_rows": 4, "check_nulls": [], "expected_columns": ["year"]}) == []
+def test_nothing_is_found_where_all_holds(readings):
+    assert found(readings, {"min_rows": 120, "max_rows": 120, "check_nulls": ["tag"], "check_range": {"level": {"min": -20, "max": 70}},
+                            "check_values": {"spare": [True, False]}, "expected_columns": list(NAMES[:3])}) == []
 
 
-def test_row_counts(people, spark):
-    assert found(people, {"min_rows": 5}) == [(None, "min_rows", "error", 1, 1)]
-    assert found(people, {"min_rows": 5, "max_rows": 3}) == [
-        (None, "max_rows", "error", 1, 1), (None, "min_rows", "error", 1, 1)]
-    assert rows(run_checks(people, {"min_rows": 9}))[0]["message"] == "Row count 4 is less than minimum 9"
-    assert found(people.limit(0), {"min_rows": 1}) == [(None, "min_rows", "error", 1, 1)]
+@pytest.mark.parametrize("rows_wanted, failing", [({"min_rows": 121}, ["min_rows"]), ({"max_rows": 119}, ["max_rows"]), (
+    {"min_rows": 500, "max_rows": 7}, ["max_rows", "min_rows"])])
+def test_row_limits_fail_once_each(readings, rows_wanted, failing):
+    assert found(readings, rows_wanted) == [(None, name, "error", 1, 1) for name in failing]
+    limit = rows_wanted[failing[-1]]
+    assert str(limit) in rows(run_checks(readings, rows_wanted), "check")[-1]["message"]
+    if failing == ["min_rows"]:
+        assert found(readings.limit(0), rows_wanted) == [(None, "min_rows", "error", 1, 1)]
 
 
-def test_nulls_ignore_unknown_columns(people):
-    assert found(people, {"check_nulls": ["person_id", "state", "nope"]}) == [
-        ("person_id", "check_nulls", "error", 1, 4), ("state", "check_nulls", "error", 1, 4)]
+def test_missing_values_are_counted_over_all_rows(readings):
+    nulls = {c: sum(r[NAMES.index(c)] is None for r in READINGS) for c in NAMES}
+    got = found(readings, {"check_nulls": [*NAMES, "absent"]})
+    assert got == [(c, "check_nulls", "error", nulls[c], 120) for c in sorted(NAMES) if nulls[c]]
 
 
-def test_range_is_inclusive_and_skips_nulls(people):
-    assert found(people, {"check_range": {"age": {"min": -5, "max": 149}, "year": {"min": 1900}, "nope": {"min": 0}}}) == [
-        ("age", "check_range", "error", 1, 3), ("nope", "check_range", "warn", 0, 0), ("year", "check_range", "error", 1, 3)]
+def test_ranges_include_their_ends_and_skip_missing_values(readings):
+    bounds = {"level": {"min": -17.75, "max": 52.75}, "serial": {"min": 2}, "absent": {"max": 1}}
+    low, high = bounds["level"]["min"], bounds["level"]["max"]
+    assert found(readings, {"check_range": bounds}) == [
+        ("absent", "check_range", "warn", 0, 0),
+        ("level", "check_range", "error", *broken("level", lambda v: low <= v <= high)),
+        ("serial", "check_range", "error", *broken("serial", lambda v: v >= 2))]
+    assert (low, True) in {(r[2], True) for r in READINGS} and high in {r[2] for r in READINGS}
 
 
-def test_values_and_patterns(people):
-    assert found(people, {"check_values": {"state": ["CT", "MA"]}, "check_pattern": {"fips": r"\d{5}"}}) == [
-        ("fips", "check_pattern", "error", 2, 3), ("state", "check_values", "error", 1, 3)]
+@pytest.mark.parametrize("pattern", [r"Q[0-2]-\d+", r"Q\d", r"(?P<quarter_no>Q\d)-\d{3}", r"x\d+|Q3.*"])
+def test_values_and_whole_patterns(readings, pattern):
+    assert found(readings, {"check_values": {"station": ["north", "depot"]}, "check_pattern": {"tag": pattern}}) == [
+        ("tag", "check_pattern", "error", *broken("tag", lambda v: re.fullmatch(pattern, v))),
+        ("station", "check_values", "error", *broken("station", lambda v: v in ("north", "depot")))]
 
 
-def test_pattern_matches_whole_string(spark):
-    df = spark.createDataFrame([("09001",), ("AB09001",), ("09001\n",)], "code string")
-    assert found(df, {"check_pattern": {"code": r"\d{5}"}}) == [("code", "check_pattern", "error", 2, 3)]
-    assert found(df, {"check_pattern": {"code": r"(?P<a_b>\d)\d+|AB.*"}}) == [("code", "check_pattern", "error", 1, 3)]
+def test_a_pattern_does_not_forgive_a_line_break_at_the_end(spark):
+    df = spark.createDataFrame([("Q1",), ("Q1\n",), ("\nQ1",), ("Q1 ",)], "tag string")
+    assert found(df, {"check_pattern": {"tag": r"Q\d"}}) == [("tag", "check_pattern", "error", 3, 4)]
 
 
 def test_all_null_column_has_no_finding(spark):
@@ -61,10 +85,11 @@ def test_all_null_column_has_no_finding(spark):
     assert found(df, {"check_range": {"x": {"min": 0}}, "check_values": {"x": [1]}, "check_pattern": {"x": "1"}}) == []
 
 
-def test_expected_columns(people):
-    assert found(people, {"expected_columns": ["person_id", "income"]}) == [(None, "expected_columns", "error", 1, 2)]
-    strict = {"columns": ["person_id", "year", "state", "age"], "strict": True}
-    assert found(people, {"expected_columns": strict}) == [(None, "expected_columns", "error", 1, 5)]
+def test_expected_columns_count_what_was_asked_for(readings):
+    assert found(readings, {"expected_columns": ["tag", "depth", "serial"]}) == [(None, "expected_columns", "error", 1, 3)]
+    for left_out, strict in ((0, False), (2, True)):
+        wanted = {"columns": list(NAMES[left_out:]), "strict": strict}
+        assert found(readings, {"expected_columns": wanted}) == ([(None, "expected_columns", "error", 2, 5)] if left_out else [])
 
 
 def test_unique_and_custom(spark):
@@ -73,12 +98,13 @@ def test_unique_and_custom(spark):
         (None, "check_custom", "error", 1, 5), (None, "check_custom", "error", 1, 5), ("k", "check_unique", "error", 2, 3)]
 
 
-def test_thresholds(people):
-    config = {"check_nulls": ["person_id"], "check_values": {"state": ["CT"]}}
-    result = collect_result(run_checks(people, {**config, "thresholds": {"check_nulls": 0.3, "check_values": 1 / 3}}))
-    assert not result.passed
-    assert [f["check"] for f in result.errors] == ["check_values"]  # a rate equal to the threshold stays an error
-    assert [f["check"] for f in result.warnings] == ["check_nulls"]
+def test_thresholds_forgive_rates_below_them_only(readings):
+    failed, looked_at = broken("station", lambda v: v == "south")
+    config = {"check_nulls": ["level"], "check_values": {"station": ["south"]}}
+    for limit, name in ((failed / looked_at, "errors"), (failed / looked_at + 0.001, "warnings")):
+        result = collect_result(run_checks(readings, {**config, "thresholds": {"check_nulls": 0.5, "check_values": limit}}))
+        assert "check_values" in [f["check"] for f in getattr(result, name)]
+        assert "check_nulls" in [f["check"] for f in result.warnings] and result.passed == (name == "warnings")
 
 
 def test_result_model():
