@@ -64,8 +64,12 @@ SLICE_BYTES = 4_000_000
 
 def slices(batches, column: int):
     """The batches, cut so that the texts of ``column`` take about SLICE_BYTES each."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     for batch in batches:
-        _, offsets = text_bytes(batch.column(column))
+        size = pc.binary_length(pc.cast(batch.column(column), pa.large_string()))
+        offsets = np.append(0, np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False)))
         at = 0
         while at < batch.num_rows:
             end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1)

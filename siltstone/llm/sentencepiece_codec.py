@@ -32,6 +32,8 @@ DROPOUT, SEED, STREAMS = 0.1, 17, None
 LONG, SLICE = 96, 1_000_000
 #: Symbols of units of one length that go through the agenda together.
 AGENDA = 100_000
+#: Units whose letters or merges are arrays at a time; more of them share an agenda, as repeats are found among all.
+CHUNK = 8_192
 
 _NONE = np.int32(1 << 30)
 
@@ -206,7 +208,12 @@ def _agenda_long(v, ids, key, dropout):
         if after[i] < n:
             before[after[i]] = i
         offer([before[i], i])
-    return np.array([s for s in symbol if s >= 0], np.int64)
+    return np.array([s for s in symbol if s >= 0], np.int32)
+
+
+def _chunks(n: int) -> list[slice]:
+    """CHUNK of n units after the other."""
+    return [slice(at, at + CHUNK) for at in range(0, n, CHUNK)]
 
 
 def _ragged(values, starts, counts):
@@ -222,7 +229,7 @@ def _encode_slice(
 
     ``places`` has the number of each text's first unit, which is not 0 for the later parts of a long one.
     """
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.int32).copy()
     sizes = np.array([len(t) for t in texts], np.int64)
     if not len(codes):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
@@ -242,9 +249,13 @@ def _encode_slice(
     if streams is not None:
         stream %= np.uint64(streams)
 
-    within = np.arange(len(codes)) - np.repeat(unit_at, lengths)
     powers = np.cumprod(np.full(int(lengths.max()), 0x9E3779B97F4A7C15 | 1, np.uint64))
-    value = np.add.reduceat((codes.astype(np.uint64) + np.uint64(1)) * powers[within], unit_at)
+    value = np.zeros(len(unit_at), np.uint64)
+    for some in _chunks(len(unit_at)):
+        at, size = unit_at[some], lengths[some]
+        letters = codes[at[0]: at[-1] + size[-1]].astype(np.uint64) + np.uint64(1)
+        letters *= powers[np.arange(at[0], at[-1] + size[-1]) - np.repeat(at, size)]
+        value[some] = np.add.reduceat(letters, at - at[0])
     value = mix(value + mix(lengths.astype(np.uint64)))
     keys = mix(value + mix(stream + seed_key))
 
@@ -253,10 +264,9 @@ def _encode_slice(
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
         size, like = lengths[units], units[one[which]]
         same = size == lengths[like]
-        some = np.flatnonzero(same)
-        if len(some):
-            equal = codes[_ragged(np.arange(len(codes)), unit_at[units[some]], size[some])] == codes[
-                _ragged(np.arange(len(codes)), unit_at[like[some]], size[some])]
+        alike = np.flatnonzero(same)
+        for some in (alike[x] for x in _chunks(len(alike))):
+            equal = _ragged(codes, unit_at[units[some]], size[some]) == _ragged(codes, unit_at[like[some]], size[some])
             same[some] = np.logical_and.reduceat(equal, np.cumsum(size[some]) - size[some])
         odd = np.flatnonzero(~same)
         which[odd] = len(one) + np.arange(len(odd))
@@ -274,7 +284,7 @@ def _encode_slice(
                     at = unit_at[units[u]]
                     got = _agenda_long(v, v.first[codes[at: at + size]], keys[units[u]], share)
                     out_ids.append(got)
-                    out_unit.append(np.full(len(got), first + u))
+                    out_unit.append(np.full(len(got), first + u, np.int32))
                 continue
             step = max(1, AGENDA // int(size))
             for cut in range(0, len(mine), step):
@@ -283,7 +293,7 @@ def _encode_slice(
                 seen = None if met is None else []
                 for rows, pieces in _agenda_short(v, ids, keys[units[some]], share, seen):
                     out_ids.append(pieces.ravel())
-                    out_unit.append(np.repeat(first + some[rows], pieces.shape[1]))
+                    out_unit.append(np.repeat((first + some[rows]).astype(np.int32), pieces.shape[1]))
                 if met is not None:
                     met += [(some[r], a, b) for r, a, b in seen]
 
@@ -301,16 +311,21 @@ def _encode_slice(
             order = np.argsort(kind, kind="stable")
             start, end = start[order], end[order]
             count = np.bincount(kind, minlength=n_units)
-            of = which[plain]
-            at = _ragged(np.arange(len(start)), (np.cumsum(count) - count)[of], count[of])
-            owner = np.repeat(plain, count[of])
-            again[owner[_skipped(keys[owner], start[at], end[at], dropout)]] = True
+            first = np.cumsum(count) - count
+            for some in (plain[x] for x in _chunks(len(plain))):
+                of = which[some]
+                owner = np.repeat(some, count[of])
+                start_of, end_of = _ragged(start, first[of], count[of]), _ragged(end, first[of], count[of])
+                again[owner[_skipped(keys[owner], start_of, end_of, dropout)]] = True
         more = np.flatnonzero(again)
         one, kinds = distinct(more, keys[more])
         which[more] = n_units + kinds
         encode_units(one, n_units, dropout)
         n_units += len(one)
+    del codes, space, begins, place, stream, value, keys, met
     ids, unit = np.concatenate(out_ids), np.concatenate(out_unit)
+    out_ids.clear()
+    out_unit.clear()
     order = np.argsort(unit, kind="stable")
     ids, unit = ids[order], unit[order]
     ids, unit = _bytes_for_unknown(v, ids, unit)

@@ -99,6 +99,22 @@ def test_heap_and_arrays_agree(monkeypatch):
     assert out[0] == out[1]
 
 
+def test_encoding_a_slice_takes_little_memory():
+    import tracemalloc
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(400)]
+    vocabulary = sentencepiece_codec.read_vocabulary(MODEL)
+    for dropout in (0.0, 0.1):
+        tracemalloc.start()
+        ids, counts = sentencepiece_codec.encode_texts(vocabulary, texts, np.arange(len(texts)), dropout, 17, None)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 * sum(map(len, texts))
+        assert sentencepiece_codec.decode_ids(vocabulary, ids, counts) == texts
+
+
 def test_no_documents_give_no_pieces(spark):
     assert sentencepiece_codec.encode(frame(spark, []), MODEL).collect() == []
     with pytest.raises(ValueError):
